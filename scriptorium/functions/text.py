@@ -57,7 +57,7 @@ def nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 # Fixed values of the zbz profile: double quotes, single quotes, dashes; the
 # soft hyphen has no counterpart and is dropped by translate.
-_ZBZ_FROM = "«»„“”" + "‹›`´‘’" + "‐‑‒–—" + "­"
+_ZBZ_FROM = "«»„“”" + "‹›`´‘’" + "‐‑‒–—" + "\u00ad"
 _ZBZ_TO = '"""""' + "''''''" + "-----"
 
 

@@ -8,6 +8,8 @@ from .registry import REGISTRY, Query
 
 MODULES: list[str] = [
     "assessment",
+    "functions",
+    "reviews",
 ]
 
 for _module in MODULES:
