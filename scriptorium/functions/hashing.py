@@ -54,3 +54,25 @@ def set_digest(child_hash: Column, length: int | None = 12) -> Column:
     ]
     sums = [F.coalesce(limb, F.lit(0)).cast("decimal(38,0)").cast("string") for limb in limbs]
     return text_hash(F.concat_ws(UNIT, F.count(child_hash).cast("string"), *sums), length)
+
+
+def array_digest(child_hashes: Column, length: int | None = 12) -> Column:
+    """The set digest of hashes that already sit in one array."""
+
+    def limb(i: int) -> Column:
+        zero = F.lit(0).cast("decimal(38,0)")
+        return F.aggregate(
+            child_hashes,
+            zero,
+            lambda total, h: (
+                total + F.conv(F.substring(h, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")
+            ).cast("decimal(38,0)"),
+        )
+
+    sums = [limb(i).cast("string") for i in range(4)]
+    return text_hash(F.concat_ws(UNIT, F.size(child_hashes).cast("string"), *sums), length)
+
+
+def image_hash(page: Column, filename: Column, sha256: Column) -> Column:
+    """Hash of one facsimile of an ordered image state."""
+    return fields_hash(page, filename, sha256)

@@ -10,6 +10,7 @@ MODULES: list[str] = [
     "assessment",
     "functions",
     "reviews",
+    "contract",
 ]
 
 for _module in MODULES:
