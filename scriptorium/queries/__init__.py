@@ -11,6 +11,7 @@ MODULES: list[str] = [
     "functions",
     "reviews",
     "contract",
+    "markup",
 ]
 
 for _module in MODULES:
