@@ -12,6 +12,7 @@ MODULES: list[str] = [
     "reviews",
     "contract",
     "markup",
+    "evaluation",
 ]
 
 for _module in MODULES:

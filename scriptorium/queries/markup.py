@@ -50,6 +50,7 @@ _MARKS = (
     r"""'\{{(.+?)\}}', '<add>\1</add>', 'g'), '\[\.\.\.\s*~\s*(\d+)\s*chars?\]', '<gap reason="illegible" quantity="\1" unit="character"/>', 'g'), """
     r"""'\[\.\.\.\]', '<gap reason="illegible"/>', 'g'), '([^\s{{}}\[\]~]+)\[\?\]', '<unclear>\1</unclear>', 'g')"""
 )
+_UNESC = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
 _STRIP = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
 
 PAGES_WITH_IMAGES = """
@@ -194,14 +195,13 @@ def _(t):
 
 @query(
     "job14_comparison_texts",
-    r"""SELECT object_id, page,
-               regexp_replace(regexp_replace(fragment, '<[^>]*>', '', 'g'), '&(amp|lt|gt|quot);', '?', 'g') AS itertext,
-               regexp_replace(regexp_replace(replace(fragment, '<lb/>', ' '), '<pb [^>]*>', chr(10) || chr(10)), '<[^>]*>', '', 'g') AS comparison
-        FROM page_fragments WHERE fragment NOT LIKE '%&%'""",
+    rf"""SELECT object_id, page, {_UNESC.format(x="regexp_replace(fragment, '<[^>]*>', '', 'g')")} AS itertext,
+               {_UNESC.format(x="regexp_replace(regexp_replace(replace(fragment, '<lb/>', ' '), '<pb [^>]*>', chr(10) || chr(10)), '<[^>]*>', '', 'g')")} AS comparison
+        FROM page_fragments""",
     FRAGMENT_BLOCKS,
 )
 def _(t):
-    rows = markup.page_fragments(url_pages(t)).filter(~F.contains("fragment", F.lit("&")))
+    rows = markup.page_fragments(url_pages(t))
     body = F.concat(
         F.lit(f'<TEI xmlns="{markup.NAMESPACE}"><text><body>'), "fragment",
         F.lit("</body></text></TEI>"),
