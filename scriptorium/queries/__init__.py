@@ -13,6 +13,7 @@ MODULES: list[str] = [
     "contract",
     "markup",
     "evaluation",
+    "inventory",
 ]
 
 for _module in MODULES:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import alignment, text
+from ..functions import text
 from ..plans import evaluation, reading
 from .markup import documents
 from .registry import query
@@ -52,9 +52,14 @@ def _(t):
 )
 def _(t):
     hypothesis = F.concat(F.lit("#"), F.substring("text", 2, 10_000_000), F.lit("§" * 60))
-    return t.documents.select(
-        "doc_id", alignment.edit_split(50)(F.col("text"), hypothesis).alias("s")
-    ).select("doc_id", "s.fidelity", "s.scope")
+    pairs_of_copies = t.documents.select(
+        F.col("doc_id").alias("fixture_id"), F.col("text").alias("reference"), hypothesis.alias("hypothesis")
+    )
+    return evaluation.score(pairs_of_copies).select(
+        F.col("fixture_id").alias("doc_id"),
+        F.col("fidelity_distance").alias("fidelity"),
+        F.col("scope_insertion_distance").alias("scope"),
+    )
 
 
 @query(
