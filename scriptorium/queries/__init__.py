@@ -14,6 +14,7 @@ MODULES: list[str] = [
     "markup",
     "evaluation",
     "inventory",
+    "workflow",
 ]
 
 for _module in MODULES:
