@@ -8,7 +8,7 @@ serves the Spark queries and the SQL checks. Bindings cover whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -235,20 +235,28 @@ def render(name: str, dialect: str) -> str:
     return text
 
 
-def bound(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A binding, or a test table itself, as a DataFrame."""
+def bound(
+    spark: SparkSession, sf_dir: str, name: str, load: Callable[[SparkSession, str, str], DataFrame] | None = None
+) -> DataFrame:
+    """A binding, or a test table itself, as a DataFrame; ``load`` replaces the table reader."""
     if name not in BINDINGS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return load(spark, sf_dir, name) if load else spark.read.parquet(f"{sf_dir}/{name}.parquet")
     tables, _ = BINDINGS[name]
     text = render(name, "spark").replace("{", "{{").replace("}", "}}")
     frames = {}
     for table in tables:
         # named parameters of spark.sql: every FROM/JOIN table reference
         text = _reference(text, table)
-        frames[table] = bound(spark, sf_dir, table)
+        frames[table] = bound(spark, sf_dir, table, load)
     return spark.sql(text, **frames)
 
 
+def as_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table as a file stream."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def _reference(text: str, table: str) -> str:
     for keyword in ("FROM", "JOIN"):
         for after in (" ", "\n", ")"):

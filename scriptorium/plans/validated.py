@@ -66,10 +66,9 @@ def stale_signals(recorded: DataFrame, pages: DataFrame) -> DataFrame:
 
 def validated_violations(documents: DataFrame) -> DataFrame:
     """Rules of validated documents beyond the contract: object_id, code, message."""
-    base = checkpointed(documents.filter("readable"))
+    base = checkpointed(documents).filter("readable")
     doc = Node(F.col("doc"))
     meta, validation = doc["_meta"], doc["validation"]
-    step = F.coalesce(meta["pipeline_step"].integer == 4, F.lit(False))
     fields = contract.Fields("doc")
     node = fields.node()
     whole = violations(

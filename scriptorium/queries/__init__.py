@@ -15,6 +15,7 @@ MODULES: list[str] = [
     "evaluation",
     "inventory",
     "workflow",
+    "streams",
 ]
 
 for _module in MODULES:

@@ -1,9 +1,57 @@
-"""Staleness of correction proposals: stream or table against the current versions."""
+"""Corrections as a stream with optimistic concurrency."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+
+from .reviews import use_rocksdb
+
+STATE = StructType([StructField("version", StringType())])
+
+
+class VersionGuard(StatefulProcessor):
+    """Accepts a correction only when it was made against the current version."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("version", STATE)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.state.update((initialState["current_version"].iloc[0],))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        edits = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable", ignore_index=True)
+        version = self.state.get()[0] if self.state.exists() else None
+        accepted = []
+        for base, new in zip(edits["version"], edits["new_version"]):
+            fits = version is not None and base == version and new != version
+            accepted.append(fits)
+            version = new if fits else version
+        if version is not None:
+            self.state.update((version,))
+        yield edits.assign(accepted=accepted)
+
+    def close(self) -> None:
+        pass
+
+
+def guard_versions(edits: DataFrame, current: DataFrame) -> DataFrame:
+    """Tag every correction of a stream as accepted or rejected.
+
+    edits(object_id, page, seq, version, new_version, ...);
+    current(object_id, page, current_version) seeds the state.
+    """
+    use_rocksdb(edits.sparkSession)
+    schema = StructType([*edits.schema.fields, StructField("accepted", BooleanType())])
+    seed = current.select("object_id", "page", "current_version").groupBy("object_id", "page")
+    return edits.groupBy("object_id", "page").transformWithStateInPandas(
+        VersionGuard(), schema, outputMode="Append", timeMode="None", initialState=seed
+    )
 
 
 def proposal_staleness(proposals: DataFrame, current: DataFrame) -> DataFrame:
