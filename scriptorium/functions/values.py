@@ -15,7 +15,9 @@ def aware_timestamp(col: Column) -> Column:
     """Instant of an ISO text that carries a UTC offset, else null."""
     return F.when(
         F.coalesce(col.rlike(_ISO), F.lit(False)),
-        F.try_to_timestamp(F.regexp_replace(col, ",", ".")),
+        F.try_to_timestamp(
+            F.regexp_replace(F.regexp_replace(col, ",", "."), r"([+-]\d{2})(\d{2})$", "$1:$2")
+        ),
     )
 
 
