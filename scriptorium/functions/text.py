@@ -12,6 +12,10 @@ from pyspark.sql.types import StringType
 # Unicode white space as str.split() sees it: the White_Space property plus the
 # four information separators.
 SPACE = r"[\s\x{1C}-\x{1F}]"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 U = "(?U)"  # Unicode character classes
 UD = "(?Ud)"  # ... and "." stops at \n only
 
@@ -21,7 +25,7 @@ XML_ILLEGAL = r"[^\t\n\r\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]"
 
 def strip(col: Column) -> Column:
     """Trim Unicode white space on both ends."""
-    return F.regexp_replace(col, rf"{U}^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(col, F.lit(SPACES))
 
 
 def is_blank(col: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import hashing, markers, text, values
 from ..operators import reviews
 from ..operators.ordered import numbered
+from ..session import checkpointed
 
 NAMESPACE = "http://www.tei-c.org/ns/1.0"
 MAX_DOCUMENT_CHARS = 64 * 1024 * 1024
@@ -289,8 +290,10 @@ def assemble(fragments: DataFrame, max_chars: int = MAX_DOCUMENT_CHARS) -> tuple
     """(documents, oversized fragments).
 
     Document sizes are summed first; only objects within the limit are joined
-    into one string, the others stay complete as ordered fragments.
+    into one string, the others stay complete as ordered fragments. Fragments
+    are written once, since the sizes and the texts both come from them.
     """
+    fragments = checkpointed(fragments)
     sizes = fragments.groupBy("object_id").agg(F.sum(F.length("fragment")).alias("chars"))
     small = fragments.join(sizes.filter(F.col("chars") <= max_chars).select("object_id"), "object_id", "left_semi")
     large = fragments.join(sizes.filter(F.col("chars") > max_chars).select("object_id"), "object_id", "left_semi")

@@ -39,38 +39,53 @@ def metadata(documents: DataFrame) -> DataFrame:
     base = with_well_formed(documents).withColumn("_header", header_of(F.col("markup")))
     usable = F.col("well_formed") & (F.col("_header") != "")
 
-    def path(expression: str) -> Column:
-        return F.coalesce(
-            F.when(usable, text.strip(F.xpath_string("_header", F.lit(expression)))), F.lit("")
-        )
-
-    def exists(expression: str) -> Column:
-        return F.coalesce(F.when(usable, F.xpath_boolean("_header", F.lit(expression))), F.lit(False))
+    header = F.when(usable, F.col("_header")).otherwise("")
 
-    def dated(element: str) -> Column:
-        return F.coalesce(text.non_empty(path(f"({element})[1]/@when")), path(f"({element})[1]"))
+    def dated(block: Column, element: str) -> Column:
+        tag = first_tag(block, element)
+        return F.when(tag != "", F.coalesce(text.non_empty(attribute(tag, "when")), leading_text(block, element)))
 
-    date = (
-        F.when(exists("//origDate"), dated("//origDate"))
-        .when(exists("//sourceDesc//date"), dated("//sourceDesc//date"))
-        .otherwise(dated("//date"))
-    )
-    change = path("(//revisionDesc/change)[1]")
+    source = F.regexp_extract(header, r"(?s)<sourceDesc\b.*?</sourceDesc>", 0)
+    language = F.regexp_extract(header, r"(?s)<langUsage\b.*?</langUsage>", 0)
+    change = first_element(F.regexp_extract(header, r"(?s)<revisionDesc\b.*?</revisionDesc>", 0), "change")
+    change_text = F.regexp_replace(change, r"<[^>]*>", "")
+    shelfmark = r"""<idno\b[^>]*\stype\s*=\s*["']shelfmark["'][^>]*>([^<]*)"""
     return base.select(
         "object_id",
         "markup",
         "well_formed",
-        path("(//titleStmt/title)[1]").alias("title"),
-        date.alias("date"),
-        F.coalesce(text.non_empty(path("(//langUsage/language)[1]/@ident")), path("(//langUsage/language)[1]")).alias("language"),
-        path("//revisionDesc/@status").alias("status"),
-        path("(//msIdentifier/idno[@type='shelfmark'])[1]").alias("signature"),
-        path("(//revisionDesc/change)[1]/@when").alias("input_state_timestamp"),
-        provenance_value(change, "source_images_hash").alias("source_images_hash"),
-        provenance_value(change, "validation_state_hash").alias("validation_state_hash"),
+        leading_text(F.regexp_extract(header, r"(?s)<titleStmt\b.*?</titleStmt>", 0), "title").alias("title"),
+        F.coalesce(dated(header, "origDate"), dated(source, "date"), dated(header, "date"), F.lit("")).alias("date"),
+        F.coalesce(
+            text.non_empty(attribute(first_tag(language, "language"), "ident")), leading_text(language, "language")
+        ).alias("language"),
+        attribute(first_tag(header, "revisionDesc"), "status").alias("status"),
+        text.strip(
+            text.xml_unescape(F.regexp_extract(F.regexp_extract(header, r"(?s)<msIdentifier\b.*?</msIdentifier>", 0), shelfmark, 1))
+        ).alias("signature"),
+        attribute(first_tag(change, "change"), "when").alias("input_state_timestamp"),
+        provenance_value(change_text, "source_images_hash").alias("source_images_hash"),
+        provenance_value(change_text, "validation_state_hash").alias("validation_state_hash"),
     )
 
 
+def first_tag(block: Column, element: str) -> Column:
+    """The first start tag of an element, empty when there is none."""
+    return F.regexp_extract(block, rf"<{element}(?=[\s>/])[^>]*>", 0)
+
+
+def first_element(block: Column, element: str) -> Column:
+    """The first element with its content."""
+    return F.regexp_extract(block, rf"(?s)<{element}(?=[\s>/])[^>]*?(?:/>|>.*?</{element}\s*>)", 0)
+
+
+def leading_text(block: Column, element: str) -> Column:
+    """Trimmed text of the first such element in front of its first child."""
+    inner = F.regexp_extract(block, rf"<{element}(?=[\s>/])([^>]*)>([^<]*)", 2)
+    closed = first_tag(block, element).endswith("/>")
+    return F.when(closed, "").otherwise(text.strip(text.xml_unescape(inner)))
+
+
 def attribute(tag: Column, name: str) -> Column:
     """Attribute value of one tag text, empty when absent; either quote character."""
     double = F.regexp_extract(tag, rf'\s{name}\s*=\s*"([^"]*)"', 1)
