@@ -41,8 +41,16 @@ def count_illegible(text: Column) -> Column:
 
 
 def count_artifacts(text: Column) -> Column:
-    """Symbol clusters that remain once the markers are gone."""
-    return F.regexp_count(strip_markers(text), F.lit(ARTIFACT))
+    """Symbol clusters that remain once the markers are gone.
+
+    Most texts have neither a marker nor three symbols in a row; two cheap
+    tests spare them the costly patterns.
+    """
+    plain = F.when(text.rlike(r"[\[{~]"), strip_markers(text)).otherwise(text)
+    suspicious = plain.rlike(r"[^a-z A-Z0-9\p{L}\p{N}_\s.—–\-]{3}")
+    return F.when(suspicious, F.regexp_count(plain, F.lit(ARTIFACT))).otherwise(
+        F.when(plain.isNotNull(), 0)
+    )
 
 
 def count_double_spaces(text: Column) -> Column:
