@@ -13,12 +13,14 @@ _ISO = (
 
 def aware_timestamp(col: Column) -> Column:
     """Instant of an ISO text that carries a UTC offset, else null."""
-    return F.when(
-        F.coalesce(col.rlike(_ISO), F.lit(False)),
-        F.try_to_timestamp(
-            F.regexp_replace(F.regexp_replace(col, ",", "."), r"([+-]\d{2})(\d{2})$", "$1:$2")
-        ),
-    )
+    full = F.regexp_replace(col, ",", ".")
+    for pattern, replacement in (
+        (r"([T ]\d{2}:\d{2})(?=[Z+-])", "$1:00"),  # no seconds
+        (r"([+-]\d{2})(\d{2})$", "$1:$2"),  # offset without colon
+        (r"([+-]\d{2})$", "$1:00"),  # offset of hours only
+    ):
+        full = F.regexp_replace(full, pattern, replacement)
+    return F.when(F.coalesce(col.rlike(_ISO), F.lit(False)), F.try_to_timestamp(full))
 
 
 def is_aware_timestamp(col: Column) -> Column:

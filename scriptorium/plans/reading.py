@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions import text
 from ..functions.text import provenance_value
@@ -263,3 +263,52 @@ def comparison_reader(mode: str):
             yield batch.map(lambda markup: _read(markup, mode)).astype(object)
 
     return read
+
+
+BLOCKS = ("p", "ab", "head", "item", "note")
+
+
+class BlockRows:
+    """Rows (page, kind, text) of the outermost text blocks of one document.
+
+    ``page`` counts page breaks from 1, also those inside a block; a block
+    starts on the page its start tag is on. Unreadable markup gives no rows.
+    """
+
+    def eval(self, markup: str):
+        try:
+            body = None if markup is None else _body_of(markup)
+        except ET.ParseError:
+            body = None
+        if body is not None:
+            yield from self._rows(body, [0])
+
+    def _rows(self, element: ET.Element, page: list[int]):
+        for child in element:
+            if child.tag == "pb":
+                page[0] += 1
+            elif child.tag in BLOCKS:
+                start = page[0]
+                page[0] += sum(1 for _ in child.iter("pb"))
+                yield start, child.tag, "".join(_pieces(child))
+            else:
+                yield from self._rows(child, page)
+
+
+def _pieces(element: ET.Element) -> Iterator[str]:
+    yield element.text or ""
+    for child in element:
+        if child.tag == "lb":
+            yield "\n"
+        else:
+            yield from _pieces(child)
+        yield child.tail or ""
+
+
+def blocks(documents: DataFrame) -> DataFrame:
+    """Text blocks of (object_id, markup) by a lateral join with the table function."""
+    schema = StructType(
+        [StructField("page", IntegerType()), StructField("kind", StringType()), StructField("text", StringType())]
+    )
+    table = F.udtf(BlockRows, returnType=schema)
+    return documents.lateralJoin(table(F.col("markup").outer())).drop("markup")

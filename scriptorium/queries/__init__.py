@@ -16,6 +16,7 @@ MODULES: list[str] = [
     "inventory",
     "workflow",
     "streams",
+    "sinks",
 ]
 
 for _module in MODULES:

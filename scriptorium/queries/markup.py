@@ -428,3 +428,33 @@ def _(t):
         F.coalesce(text.non_empty(F.col("language")), F.lit("la")).alias("language"),
         context_lines(F.lit(3)).alias("context"),
     )
+
+
+@query(
+    "udf05_markup_blocks",
+    rf"""SELECT p.object_id || '/' || CAST(p.page AS STRING) AS object_id, CAST(1 AS INT) AS page,
+               CASE WHEN q.page_type = 'foreign_text' OR q.foreign_index = p.para_idx THEN 'note' ELSE 'p' END AS kind,
+               {_UNESC.format(x="regexp_replace(replace(content, '<lb/>', chr(10)), '<[^>]*>', '', 'g')")} AS text
+        FROM paragraph_markup p JOIN pages_v q ON q.object_id = p.object_id AND q.page = p.page WHERE content <> ''""",
+    FRAGMENT_BLOCKS,
+)
+def _(t):
+    fragments = markup.page_fragments(url_pages(t))
+    body = F.concat(F.lit(f'<TEI xmlns="{markup.NAMESPACE}"><text><body><div>'), "fragment", F.lit("</div></body></text></TEI>"))
+    one_per_page = fragments.select(
+        F.concat("object_id", F.lit("/"), F.col("page").cast("string")).alias("object_id"), body.alias("markup")
+    )
+    generated = F.col("text").isin(
+        "Empty page without declared page_type; verify against the facsimile.",
+        "Image resolution insufficient for diplomatic transcription.",
+    ) | F.col("text").rlike("^Notiz [0-9]+$")
+    return reading.blocks(one_per_page).filter(~((F.col("kind") == "note") & generated))
+
+
+@query(
+    "src11_markup_corpus",
+    """SELECT object_id, TRUE AS well_formed FROM objects_v UNION ALL SELECT 'page-' || CAST(page_id AS STRING), FALSE FROM pages""",
+)
+def _(t):
+    html = t.pages.select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("object_id"), F.col("html").alias("markup"))
+    return reading.with_well_formed(documents(t).unionByName(html)).select("object_id", "well_formed")

@@ -13,6 +13,7 @@ T = F.col("t")
     [
         ("2024-01-01T10:00:00+02:00", True), ("2024-01-01T10:00:00Z", True), ("2024-01-01T10:00:00", False),
         ("2024-13-01T10:00:00Z", False), ("gestern", False), ("2024-01-01 10:00+0200", True),
+        ("2024-01-01T10:00:00.123456-05", True), ("2024-01-01T10:00:00,5Z", True), ("2024-01-01", False),
     ],
 )
 def test_aware_timestamps(column_value, value, expected):
