@@ -142,7 +142,8 @@ def object_measures(
         kind_count("foreign_text").alias("foreign_pages"),
         F.count_if("unverified").alias("unverified_pages"),
         *[F.sum(rule.name).alias(rule.name) for rule in rules],
-        F.transform(F.array_sort(F.collect_list(edge)), lambda e: e["edge"]).alias("edges"),
+        # a set, so copies of a page combine on the map side
+        F.transform(F.array_sort(F.collect_set(edge)), lambda e: e["edge"]).alias("edges"),
     )
     # One row per 4096 pages reaches this window; its rows are small.
     last_three = F.when(

@@ -119,7 +119,8 @@ def publish_changed(current: DataFrame, path: str, key: str = "object_id", diges
     """Rewrite only the buckets that hold new, changed or removed rows; returns those keys.
 
     Rows are partitioned by a hash bucket of their key. Removed keys stay as
-    marked rows, so a bucket that empties is rewritten like any other.
+    marked rows, so a bucket that empties is rewritten like any other. Writers
+    take ranges of (bucket, key), so a large bucket is written by many tasks.
     """
     spark = current.sparkSession
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
@@ -129,7 +130,7 @@ def publish_changed(current: DataFrame, path: str, key: str = "object_id", diges
     except Exception as exc:  # noqa: BLE001 - only a missing folder is expected
         if "PATH_NOT_FOUND" not in str(exc):
             raise
-        rows.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        rows.repartitionByRange("bucket", key).write.mode("overwrite").partitionBy("bucket").parquet(path)
         return current.select(key)
     live = stored.filter("NOT removed")
     changed = incremental.changed_rows(current, live, key, digest).select(key)
@@ -139,7 +140,7 @@ def publish_changed(current: DataFrame, path: str, key: str = "object_id", diges
     tombstones = stored.join(F.broadcast(dirty), "bucket", "left_semi").join(current.select(key), key, "left_anti")
     fresh = rows.join(F.broadcast(dirty), "bucket", "left_semi")
     out = checkpointed(fresh.unionByName(tombstones.withColumn("removed", F.lit(True))))
-    out.repartition(buckets, "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    out.repartitionByRange("bucket", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "bucket"
     ).parquet(path)
     return touched.select(key)
