@@ -109,7 +109,7 @@ def xml_unescape(col: Column) -> Column:
 
 
 def has_illegal_xml(col: Column) -> Column:
-    return F.coalesce(col.rlike(XML_ILLEGAL), F.lit(False))
+    return col.rlike(XML_ILLEGAL).eqNullSafe(True)
 
 
 def paragraphs(col: Column) -> Column:
@@ -174,7 +174,7 @@ def basename(col: Column) -> Column:
 
 def is_local_filename(col: Column) -> Column:
     """A bare file name without any folder part."""
-    return F.coalesce((col != "") & ~col.contains("/") & ~col.isin(".", ".."), F.lit(False))
+    return ((col != "") & ~col.contains("/") & ~col.isin(".", "..")).eqNullSafe(True)
 
 
 def is_safe_record_path(col: Column) -> Column:
@@ -189,11 +189,11 @@ def is_safe_record_path(col: Column) -> Column:
 
 
 def is_hex(col: Column, length: int) -> Column:
-    return F.coalesce(col.rlike(rf"\A[0-9a-f]{{{length}}}\z"), F.lit(False))
+    return col.rlike(rf"\A[0-9a-f]{{{length}}}\z").eqNullSafe(True)
 
 
 def is_safe_url(col: Column) -> Column:
-    return F.coalesce(col.rlike(r"^https?://"), F.lit(False))
+    return col.rlike(r"^https?://").eqNullSafe(True)
 
 
 def natural_key(col: Column) -> Column:

@@ -21,7 +21,7 @@ def violation_array(checks: list[Check]) -> Column:
     """Array of the broken rules of a row, in rule order."""
     found = [
         F.when(
-            F.coalesce(check.broken, F.lit(False)),
+            check.broken,
             F.struct(
                 F.lit(check.code).alias("code"),
                 (F.lit(check.message) if isinstance(check.message, str) else check.message).alias("message"),
