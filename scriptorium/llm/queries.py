@@ -77,3 +77,26 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op9_sentencepiece_codec")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .piece_codec import Shared, round_trip
+
+    shared = Shared.of(spark, piece_model())
+    found = table(spark, sf_dir, "documents").select("doc_id", round_trip("text", shared).alias("r"))
+    return found.select("doc_id", "r.*")
+
+
+def piece_model() -> str:
+    """The public model that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op4_winnowing_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .winnowing import compare_with_edits
+
+    return compare_with_edits(table(spark, sf_dir, "documents"))
