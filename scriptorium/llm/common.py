@@ -59,3 +59,19 @@ def pieces(texts: list, size: int = PIECE_CHARS) -> Iterator[tuple[int, int]]:
 def run_starts(changed: np.ndarray) -> np.ndarray:
     """Indices at which a run begins, for flags between neighbours."""
     return np.concatenate([[0], np.flatnonzero(changed) + 1])
+
+
+def sampled_by_hash(rows: DataFrame, label: str, sizes: dict, per_label: dict | int, *keys: str) -> DataFrame:
+    """Rows of each label whose hash of ``keys`` falls in a share that leaves about 1.5 times ``per_label`` of its ``sizes``."""
+    steps = 1 << 20
+    share = F.lit(0)
+    for value, n in sizes.items():
+        wanted = per_label if isinstance(per_label, int) else per_label[value]
+        share = F.when(F.col(label) == value, int(min(1.0, 1.5 * wanted / max(n, 1)) * steps) + 1).otherwise(share)
+    return rows.where(F.pmod(F.xxhash64(*keys), F.lit(steps)) < share)
+
+
+def passage(text: Column, chars: int) -> Column:
+    """A passage of at most ``chars`` characters that begins at a place given by the text's hash."""
+    spare = F.greatest(F.length(text) - chars // 2, F.lit(1))
+    return F.substring(text, F.pmod(F.shiftright(F.xxhash64(text), 20), spare).cast("int") + 1, F.lit(chars))

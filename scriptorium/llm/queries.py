@@ -100,3 +100,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .winnowing import compare_with_edits
 
     return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op1_byte_network_language")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op2_compression_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score
+
+    return score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
