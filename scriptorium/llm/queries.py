@@ -114,3 +114,70 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import score
 
     return score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER (ORDER BY doc_id, text) AS r, doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), u AS (
+  SELECT r, doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS unit FROM d
+), k AS (
+  SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+', ' ', 'g')) AS n,
+    sum(length(line) + 1) OVER (PARTITION BY r ORDER BY unit) - length(line) - 1 AS start
+  FROM u
+), g AS (
+  SELECT *, CASE WHEN len(string_split(n, ' ')) >= 5 THEN row_number() OVER (PARTITION BY n ORDER BY r, unit) ELSE 1 END AS seen,
+    first_value(doc_id) OVER (PARTITION BY n ORDER BY r, unit) AS kept_doc_id
+  FROM k
+), s AS (
+  SELECT r, count(*) FILTER (seen > 1) AS n_removed, sum(length(line)) FILTER (seen > 1) AS removed_chars,
+    string_agg(line, chr(10) ORDER BY unit) FILTER (seen = 1) AS text,
+    string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(start AS BIGINT) + length(line) AS VARCHAR) || ':' || CAST(kept_doc_id AS VARCHAR), ' ' ORDER BY unit)
+      FILTER (seen > 1) AS removed
+  FROM g GROUP BY r
+)
+SELECT d.doc_id, coalesce(s.text, CASE WHEN d.text IS NOT NULL THEN '' END) AS text, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(removed, '') AS removed
+FROM d LEFT JOIN s USING (r)
+"""
+
+
+@query("op3_line_deduplication", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import without_repeats
+
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    span = lambda r: F.concat(r["start"], F.lit("-"), r["end"], F.lit(":"), F.coalesce(r["kept_doc_id"].cast("string"), F.lit("")))
+    removed = F.coalesce("removed", F.array().cast("array<struct<unit:int,start:bigint,end:bigint,kept_doc_id:bigint>>"))
+    return found.select("row.doc_id", "row.text", removed.alias("x")).select(
+        "doc_id",
+        "text",
+        F.size("x").cast("long").alias("n_removed"),
+        F.aggregate("x", F.lit(0).cast("long"), lambda acc, r: acc + r["end"] - r["start"]).alias("removed_chars"),
+        F.array_join(F.transform("x", span), " ").alias("removed"),
+    )
+
+
+OP8_SQL = r"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS p, role, text
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY p) AS turns,
+    string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10), '' ORDER BY p) AS text
+  FROM t GROUP BY conv_id
+), u AS (
+  SELECT turns, min(conv_id) AS conv_id, count(*) AS n_equal, min(text) AS text FROM c GROUP BY turns
+), p AS (
+  SELECT DISTINCT turns[1:n] AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS n FROM u)
+)
+SELECT conv_id, CAST(len(turns) AS BIGINT) AS n_turns, CAST(n_equal AS BIGINT) AS n_equal, text
+FROM u ANTI JOIN p USING (turns)
+"""
+
+
+@query("op8_maximal_conversations", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import rendered
+
+    return rendered(table(spark, sf_dir, "conversations"))
