@@ -181,3 +181,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import rendered
 
     return rendered(table(spark, sf_dir, "conversations"))
+
+
+@query("op7_html_block_tree")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
