@@ -188,3 +188,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_text import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op5_suffix_tree_scores")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_tree import scored
+
+    return scored(table(spark, sf_dir, "documents"))
