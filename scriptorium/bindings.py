@@ -215,11 +215,13 @@ BINDINGS: dict[str, tuple[list[str], str]] = {
                CASE WHEN conv_id % 6 = 5 THEN 'machine_unreviewed' WHEN conv_id % 6 < 3 THEN 'in_review'
                     WHEN conv_id % 6 = 3 THEN 'human_verified' ELSE 'accepted' END AS requested_status,
                CASE WHEN (conv_id + turn) % 9 = 4 THEN '  ' ELSE 'actor-' || CAST(turn AS STRING) END AS actor,
-               CASE WHEN (conv_id + turn) % 5 = 0 THEN 'agent' WHEN (conv_id + turn) % 5 = 4 THEN 'robot' ELSE 'human' END AS actor_kind,
+               CASE WHEN (conv_id + turn) % 5 = 0 THEN 'agent' WHEN (conv_id + turn) % 5 = 4 THEN 'robot' WHEN (conv_id + turn) % 5 = 2 THEN 'human' END AS actor_kind,
                CASE WHEN turn % 4 = 0 THEN 'machine_unreviewed' WHEN turn % 4 < 3 THEN 'in_review' ELSE 'human_verified' END AS current_status,
                CASE WHEN (conv_id + turn) % 3 = 0 THEN {sha256('stale'{shaend} ELSE {sha256(text{shaend} END AS version,
-               {sha256(text{shaend} AS current_version,
+               CASE WHEN (conv_id + 2 * turn) % 13 <> 6 THEN {sha256(text{shaend} END AS current_version,
                text AS current_text,
+               CASE WHEN turn % 3 = 1 THEN 'Rand' ELSE '' END AS current_notes,
+               CASE WHEN conv_id % 2 = 0 THEN '' WHEN turn % 3 = 1 THEN 'Rand' ELSE '' END AS new_notes,
                CASE WHEN (conv_id + turn) % 7 = 2 THEN text ELSE text || ' (berichtigt)' END AS new_text,
                CASE WHEN (conv_id + turn) % 10 = 3 THEN '' ELSE 'Lesefehler' END AS reason,
                (turn % 6 = 2) AS has_foreign

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import markers, text
+from ..functions.values import round_one
 
 
 @dataclass(frozen=True)
@@ -182,7 +183,7 @@ def quality_signals(measures: DataFrame, image_count: Column | None = None) -> D
     )
     average = F.when(F.col("page_count") > 0, F.col("total_chars") / F.col("page_count")).otherwise(0.0)
     return (
-        measures.withColumn("chars_per_page", F.round(average, 1))
+        measures.withColumn("chars_per_page", round_one(average))
         .withColumn("content_pages", content)
         .withColumn(
             "needs_review",

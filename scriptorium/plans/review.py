@@ -9,13 +9,18 @@ from .. import vocab
 from ..functions import text
 
 
+def stated_kind() -> Column:
+    """The actor's kind; a request that names none comes from a person."""
+    return F.coalesce("actor_kind", F.lit("human"))
+
+
 def transition_reason() -> Column:
     """Why a requested transition is refused, null when it is allowed."""
-    status, kind = F.col("requested_status"), F.col("actor_kind")
+    status, kind = F.col("requested_status"), stated_kind()
     return (
         F.when(~F.coalesce(status.isin(vocab.REVIEW_STATUSES), F.lit(False)), "unknown_status")
         .when(text.is_blank(F.col("actor")), "no_actor")
-        .when(kind.isNotNull() & ~kind.isin(vocab.ACTOR_KINDS), "unknown_actor_kind")
+        .when(~kind.isin(vocab.ACTOR_KINDS), "unknown_actor_kind")
         .when((kind == "agent") & status.isin(vocab.HUMAN_DECISIONS), "agent_decision")
         .when(F.col("current_status").isNull(), "unknown_page")
         .when(F.col("current_status") == status, "already_there")
@@ -34,20 +39,24 @@ def apply_transitions(requests: DataFrame, state: DataFrame | None = None) -> tu
     judged = rows.withColumn("reason", transition_reason())
     accepted = judged.filter("reason IS NULL").select(
         "object_id", "page", F.col("current_status").alias("from_status"), F.col("requested_status").alias("status"),
-        text.strip(F.col("actor")).alias("actor"), "actor_kind",
+        text.strip(F.col("actor")).alias("actor"), stated_kind().alias("actor_kind"),
     )
     return accepted, judged.filter("reason IS NOT NULL")
 
 
-def correction_reason() -> Column:
-    """Why a correction is refused, null when it is accepted."""
+def correction_reason(
+    max_text: int = vocab.MAX_TEXT_CHARS, max_note: int = vocab.MAX_NOTE_CHARS, max_actor: int = vocab.MAX_ACTOR_CHARS
+) -> Column:
+    """Why a correction is refused, null when it is accepted; the limits are those of the contract."""
+    unchanged = F.col("new_text").eqNullSafe(F.col("current_text")) & F.col("new_notes").eqNullSafe(F.col("current_notes"))
     return (
-        F.when(text.is_blank(F.col("actor")) | ~F.coalesce(F.col("actor_kind").isin(vocab.ACTOR_KINDS), F.lit(False)), "actor")
+        F.when(text.is_blank(F.col("actor")) | ~stated_kind().isin(vocab.ACTOR_KINDS), "actor")
         .when(text.is_blank(F.col("reason")), "no_reason")
-        .when((F.length("actor") > vocab.MAX_ACTOR_CHARS) | (F.length("reason") > vocab.MAX_NOTE_CHARS), "note_too_long")
-        .when(F.length("new_text") > vocab.MAX_TEXT_CHARS, "text_too_long")
+        .when((F.length("actor") > max_actor) | (F.length("reason") > max_note), "note_too_long")
+        .when((F.length("new_text") > max_text) | (F.length("new_notes") > max_text), "text_too_long")
+        .when(F.col("current_version").isNull(), "unknown_page")
         .when(~F.col("version").eqNullSafe(F.col("current_version")), "version_conflict")
-        .when(F.col("new_text") == F.col("current_text"), "no_change")
+        .when(unchanged, "no_change")
         .when(F.col("has_foreign"), "foreign_paragraphs")
     )
 
@@ -55,13 +64,18 @@ def correction_reason() -> Column:
 def apply_corrections(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted corrections, rejected requests).
 
-    An accepted correction reopens the page when it is not in review and
-    carries the before and after texts of its edit event.
+    A request names new text and new notes (``new_notes`` absent: the notes stay). An accepted correction reopens the page when
+    it is not in review and carries texts and notes before and after, and an edit id made from page, version and content.
     """
+    if "new_notes" not in requests.columns:
+        requests = requests.withColumn("current_notes", F.lit("")).withColumn("new_notes", F.lit(""))
     judged = requests.withColumn("code", correction_reason())
+    edit = F.sha2(F.concat_ws("\x1f", "object_id", "page", "version", "actor", "reason", "new_text", "new_notes"), 256)
     accepted = judged.filter("code IS NULL").select(
-        "object_id", "page", text.strip(F.col("actor")).alias("actor"), "actor_kind", F.col("reason").alias("note"),
+        "object_id", "page", F.substring(edit, 1, 16).alias("edit_id"), text.strip(F.col("actor")).alias("actor"),
+        stated_kind().alias("actor_kind"), F.col("reason").alias("note"),
         F.col("current_text").alias("before_text"), F.col("new_text").alias("after_text"),
+        F.col("current_notes").alias("before_notes"), F.col("new_notes").alias("after_notes"),
         (F.col("current_status") != "in_review").alias("reopened"),
         F.lit("in_review").alias("review_status"), F.lit(True).alias("needs_review"),
     )

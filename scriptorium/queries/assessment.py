@@ -24,6 +24,16 @@ MEASURES = r"""
            regexp_replace(transcription, '\[\?\]|\[\.\.\.(?:\s*~\s*\d+\s*chars?)?\]|~~(.*?)~~|\{(.*?)\}', '', 'g') AS stripped
     FROM pages_v"""
 
+
+
+def round_one_sql(value: str) -> str:
+    """One decimal of a non-negative double: nearest tenth of the binary value, half to even on exact ties."""
+    x = f"CAST({value} AS DOUBLE)"
+    n = f"floor({x} * 10)"
+    side = f"({x} * 4 - ({n} * 2 + 1 - {x} * 16))"
+    return f"(({n} + CASE WHEN {side} > 0 OR ({side} = 0 AND {n} % 2 = 1) THEN 1 ELSE 0 END) / CAST(10 AS DOUBLE))"
+
+
 # Look-around-free form of the artefact rule: every dot and dash is doubled so
 # that each symbol run keeps its own neighbour on both sides.
 ARTIFACTS = r"""CAST(len([run FOR run IN
@@ -51,8 +61,8 @@ TOTALS = f"""
            CAST(sum(double_spaces) AS BIGINT) AS double_spaces
     FROM measures m JOIN joined j ON j.object_id = m.object_id GROUP BY m.object_id"""
 
-SIGNALS = """
-    SELECT *, round(total_chars / page_count, 1) AS chars_per_page,
+SIGNALS = f"""
+    SELECT *, {round_one_sql("total_chars / page_count")} AS chars_per_page,
            page_count - blank_pages - undeclared_empty_pages - gate_pages - foreign_pages AS content_pages,
            (undeclared_empty_pages > 0 OR blank_pages = page_count) AS needs_review
     FROM totals"""

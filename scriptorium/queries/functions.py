@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import hashing, markers, text, values
+from .assessment import round_one_sql
 from .registry import query
 
 ILLEGIBLE = r"\[\.\.\.(?:\s*~\s*\d+\s*chars?)?\]"
@@ -283,16 +284,16 @@ def _(t):
 
 @query(
     "fn_safe_rate_and_round",
-    """SELECT conv_id, turn,
+    f"""SELECT conv_id, turn,
               CASE WHEN r = 0 AND h = 0 THEN 0.0 WHEN r = 0 THEN 1.0 ELSE CAST(length(text) AS DOUBLE) / r END AS rate,
-              round(CAST(length(text) AS DOUBLE) / 8, 1) AS rounded
+              {round_one_sql("length(text) / 8")} AS rounded, {round_one_sql("length(text) / 20")} AS twentieths
        FROM (SELECT conv_id, turn, text, turn % 3 AS r, conv_id % 2 AS h FROM conversations)""",
 )
 def _(t):
     return t.conversations.select(
         "conv_id", "turn",
         values.safe_rate(F.length("text"), F.col("turn") % 3, F.col("conv_id") % 2).alias("rate"),
-        values.round_one(F.length("text") / 8).alias("rounded"),
+        values.round_one(F.length("text") / 8).alias("rounded"), values.round_one(F.length("text") / 20).alias("twentieths"),
     )
 
 

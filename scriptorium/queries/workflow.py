@@ -472,7 +472,7 @@ def _(t):
 # Review batches --------------------------------------------------------------------------
 
 TRANSITION_REASON = """
-    SELECT *, CASE WHEN trim(actor) = '' THEN 'no_actor' WHEN actor_kind = 'robot' THEN 'unknown_actor_kind'
+    SELECT * REPLACE (coalesce(actor_kind, 'human') AS actor_kind), CASE WHEN trim(actor) = '' THEN 'no_actor' WHEN actor_kind = 'robot' THEN 'unknown_actor_kind'
          WHEN actor_kind = 'agent' AND requested_status IN ('human_verified', 'accepted') THEN 'agent_decision'
          WHEN current_status = requested_status THEN 'already_there'
          WHEN current_status || '>' || requested_status NOT IN ('machine_unreviewed>in_review', 'in_review>machine_unreviewed', 'in_review>human_verified', 'human_verified>in_review', 'human_verified>accepted', 'accepted>in_review') THEN 'not_allowed' END AS rejection
@@ -498,14 +498,16 @@ def _(t):
 
 
 CORRECTION_REASON = """
-    SELECT *, CASE WHEN trim(actor) = '' OR actor_kind = 'robot' THEN 'actor' WHEN reason = '' THEN 'no_reason'
-         WHEN version <> current_version THEN 'version_conflict' WHEN new_text = current_text THEN 'no_change' WHEN has_foreign THEN 'foreign_paragraphs' END AS code
+    SELECT * REPLACE (coalesce(actor_kind, 'human') AS actor_kind), CASE WHEN trim(actor) = '' OR actor_kind = 'robot' THEN 'actor' WHEN reason = '' THEN 'no_reason'
+         WHEN current_version IS NULL THEN 'unknown_page' WHEN version <> current_version THEN 'version_conflict'
+         WHEN new_text = current_text AND new_notes = current_notes THEN 'no_change' WHEN has_foreign THEN 'foreign_paragraphs' END AS code
     FROM requests_v"""
 
 
 @query(
     "job22_accepted_corrections",
-    """SELECT object_id, page, actor, actor_kind, reason AS note, current_text AS before_text, new_text AS after_text,
+    """SELECT object_id, page, substr(sha256(object_id || chr(31) || CAST(page AS STRING) || chr(31) || version || chr(31) || actor || chr(31) || reason || chr(31) || new_text || chr(31) || new_notes), 1, 16) AS edit_id,
+              actor, actor_kind, reason AS note, current_text AS before_text, new_text AS after_text, current_notes AS before_notes, new_notes AS after_notes,
               current_status <> 'in_review' AS reopened, 'in_review' AS review_status, TRUE AS needs_review FROM judged WHERE code IS NULL""",
     {"judged": CORRECTION_REASON},
 )

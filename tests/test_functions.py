@@ -104,3 +104,11 @@ def test_halving_gives_the_same_distance(monkeypatch):
         a = "".join(random.choices("abcd", k=random.randint(0, 60)))
         b = "".join(random.choices("abcd", k=random.randint(0, 60)))
         assert sum(alignment.split_distance(a, b, 5)) == levenshtein(a, b)
+
+
+def test_one_decimal_is_the_nearest_tenth_of_the_binary_value(spark):
+    pairs = [(t, n) for n in (1, 2, 3, 4, 7, 8, 20, 40, 60, 1000) for t in range(0, 400)] + [(10**9 + 1, 4), (3, 20), (999_999_999, 20)]
+    rows = spark.createDataFrame(pairs, "total long, pages long").select("total", "pages", values.round_one(F.col("total") / F.col("pages")).alias("r"))
+    assert [r["r"] for r in rows.collect()] == [round(t / n, 1) for t, n in pairs]
+    negative = spark.createDataFrame([(-0.25,), (-0.35,), (-2.0,)], "x double").select(values.round_one(F.col("x")).alias("r"))
+    assert [r["r"] for r in negative.collect()] == [round(x, 1) for x in (-0.25, -0.35, -2.0)]
