@@ -102,12 +102,41 @@ def xml_escape(col: Column) -> Column:
 
 
 def xml_unescape(col: Column) -> Column:
-    out = col
+    """Character references decoded once: decimal, hexadecimal and the five named ones; others stay as they are."""
+    parts = F.split(col, "&#", -1)
+    head, tail = F.get(parts, 0), F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    out = F.when(col.contains("&#"), F.concat(head, F.array_join(F.transform(tail, _numeric_reference), ""))).otherwise(col)
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         out = F.replace(out, F.lit(entity), F.lit(char))
     return out
 
 
+def _numeric_reference(part: Column) -> Column:
+    """The character of ``123;`` or ``x7b;`` and what follows; an ampersand stays escaped for the named references."""
+    number = F.regexp_extract(part, r"\A([0-9]{1,7}|x[0-9A-Fa-f]{1,6});", 1)
+    point = F.when(number.startswith("x"), F.conv(F.substring(number, 2, 6), 16, 10)).otherwise(number).try_cast("long")
+    usable = (point >= 1) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(usable, point).otherwise(63)), 8, "0")), "UTF-32")
+    rest = F.substr(part, F.length(number) + 2)
+    return F.when(usable.eqNullSafe(True), F.concat(F.when(point == 38, "&amp;").otherwise(char), rest)).otherwise(F.concat(F.lit("&#"), part))
+
+
+def without_cdata(col: Column) -> Column:
+    """Comments dropped and CDATA sections turned into escaped text, each where the other does not hold it."""
+    plain = F.regexp_replace(col, r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->", "$1")
+    parts = F.split(plain, r"<!\[CDATA\[", -1)
+
+    def section(part: Column) -> Column:
+        end = F.locate("]]>", part)
+        inside = F.when(end > 0, F.substr(part, F.lit(1), end - 1)).otherwise(part)
+        for char, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            inside = F.replace(inside, F.lit(char), F.lit(reference))
+        return F.concat(inside, F.when(end > 0, F.substr(part, end + 3)).otherwise(""))
+
+    tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    return F.when(plain.contains("<![CDATA["), F.concat(F.get(parts, 0), F.array_join(F.transform(tail, section), ""))).otherwise(plain)
+
+
 def has_illegal_xml(col: Column) -> Column:
     return col.rlike(XML_ILLEGAL).eqNullSafe(True)
 

@@ -14,10 +14,19 @@ from ..functions import text
 from ..functions.text import provenance_value
 
 
+#: What stands between a tag's name and its end; a quoted value may hold a ``>``.
+ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+TAG = rf"<{ATTRS}>"
+
+
+def tag_pattern(name: str) -> str:
+    """Start tags of an element, or empty elements."""
+    return rf"<{name}(?=[\s>/]){ATTRS}>"
+
+
 def without_prefixes(markup: Column) -> Column:
-    """Element names without namespace prefixes, comments dropped."""
-    plain = F.regexp_replace(markup, r"(?s)<!--.*?-->", "")
-    return F.regexp_replace(plain, r"(</?)[A-Za-z_][\w.-]*:(?=[A-Za-z_])", "$1")
+    """Element names without namespace prefixes, comments dropped, CDATA sections as escaped text."""
+    return F.regexp_replace(text.without_cdata(markup), r"(</?)[A-Za-z_][\w.-]*:(?=[A-Za-z_])", "$1")
 
 
 def with_well_formed(documents: DataFrame, column: str = "markup") -> DataFrame:
@@ -48,7 +57,7 @@ def metadata(documents: DataFrame) -> DataFrame:
     source = F.regexp_extract(header, r"(?s)<sourceDesc\b.*?</sourceDesc>", 0)
     language = F.regexp_extract(header, r"(?s)<langUsage\b.*?</langUsage>", 0)
     change = first_element(F.regexp_extract(header, r"(?s)<revisionDesc\b.*?</revisionDesc>", 0), "change")
-    change_text = F.regexp_replace(change, r"<[^>]*>", "")
+    change_text = F.regexp_replace(change, TAG, "")
     shelfmark = r"""<idno\b[^>]*\stype\s*=\s*["']shelfmark["'][^>]*>([^<]*)"""
     return base.select(
         "object_id",
@@ -71,17 +80,17 @@ def metadata(documents: DataFrame) -> DataFrame:
 
 def first_tag(block: Column, element: str) -> Column:
     """The first start tag of an element, empty when there is none."""
-    return F.regexp_extract(block, rf"<{element}(?=[\s>/])[^>]*>", 0)
+    return F.regexp_extract(block, tag_pattern(element), 0)
 
 
 def first_element(block: Column, element: str) -> Column:
     """The first element with its content."""
-    return F.regexp_extract(block, rf"(?s)<{element}(?=[\s>/])[^>]*?(?:/>|>.*?</{element}\s*>)", 0)
+    return F.regexp_extract(block, rf"(?s)<{element}(?=[\s>/]){ATTRS}(?:(?<=/)>|(?<!/)>.*?</{element}\s*>)", 0)
 
 
 def leading_text(block: Column, element: str) -> Column:
     """Trimmed text of the first such element in front of its first child."""
-    inner = F.regexp_extract(block, rf"<{element}(?=[\s>/])([^>]*)>([^<]*)", 2)
+    inner = F.regexp_extract(block, rf"<{element}(?=[\s>/])({ATTRS})>([^<]*)", 2)
     closed = first_tag(block, element).endswith("/>")
     return F.when(closed, "").otherwise(text.strip(text.xml_unescape(inner)))
 
@@ -96,7 +105,7 @@ def attribute(tag: Column, name: str) -> Column:
 def image_links(markup: Column) -> Column:
     """Map from ``#id`` to URL of the facsimile list."""
     block = F.regexp_extract(without_prefixes(markup), r"(?s)<facsimile\b.*?</facsimile>", 0)
-    tags = F.regexp_extract_all(block, F.lit(r"<graphic\b[^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(block, F.lit(tag_pattern("graphic")), F.lit(0))
     entries = F.transform(
         tags,
         lambda g: F.struct(F.concat(F.lit("#"), attribute(g, r"(?:xml:)?id")).alias("key"), attribute(g, "url").alias("value")),
@@ -107,9 +116,9 @@ def image_links(markup: Column) -> Column:
 
 def plain_text(inner: Column) -> Column:
     """Text of a markup stretch: line breaks, block ends as blank lines, tags dropped."""
-    broken = F.regexp_replace(inner, r"<lb\b[^>]*>", "\n")
+    broken = F.regexp_replace(inner, tag_pattern("lb"), "\n")
     blocks = F.regexp_replace(broken, r"</(p|ab|head|item|note)\s*>", "\n\n")
-    return text.display_text(text.xml_unescape(F.regexp_replace(blocks, r"<[^>]*>", "")))
+    return text.display_text(text.xml_unescape(F.regexp_replace(blocks, TAG, "")))
 
 
 def pages(documents: DataFrame) -> DataFrame:
@@ -118,13 +127,13 @@ def pages(documents: DataFrame) -> DataFrame:
     The body is split at its page breaks inside the row; text before the first
     break belongs to no page, and a body without breaks is one page.
     """
-    body = F.regexp_extract(without_prefixes(F.col("markup")), r"(?s)<body\b[^>]*>(.*)</body>", 1)
-    breaks = F.lit(r"<pb\b[^>]*>")
+    body = F.regexp_extract(without_prefixes(F.col("markup")), rf"(?s){tag_pattern('body')}(.*)</body>", 1)
+    breaks = F.lit(tag_pattern("pb"))
     found = documents.filter(F.col("markup").rlike(r"<([A-Za-z_][\w.-]*:)?body\b")).select(
         "object_id", body.alias("_body"), image_links(F.col("markup")).alias("_links")
     )
     tags = F.regexp_extract_all("_body", breaks, F.lit(0))
-    parts = F.split("_body", r"<pb\b[^>]*>", -1)
+    parts = F.split("_body", tag_pattern("pb"), -1)
     paired = F.when(
         F.size(tags) > 0, F.arrays_zip(tags.alias("tag"), F.slice(parts, 2, F.size(tags)).alias("inner"))
     ).otherwise(F.array(F.struct(F.lit("").alias("tag"), F.col("_body").alias("inner"))))
@@ -164,13 +173,13 @@ def changes(documents: DataFrame) -> DataFrame:
     actor_tags = F.regexp_extract_all("_header", F.lit(r"(?s)<respStmt\b.*?</respStmt>"), F.lit(0))
     actors = base.select("object_id", F.explode(actor_tags).alias("s")).select(
         "object_id",
-        F.concat(F.lit("#"), attribute(F.regexp_extract("s", r"^<[^>]*>", 0), r"(?:xml:)?id")).alias("who"),
-        text.xml_unescape(F.regexp_replace(F.regexp_extract("s", r"(?s)<name\b[^>]*>(.*?)</name>", 1), r"<[^>]*>", "")).alias("actor"),
+        F.concat(F.lit("#"), attribute(F.regexp_extract("s", rf"^{TAG}", 0), r"(?:xml:)?id")).alias("who"),
+        text.xml_unescape(F.regexp_replace(F.regexp_extract("s", rf"(?s){tag_pattern('name')}(.*?)</name>", 1), TAG, "")).alias("actor"),
     )
     revision = F.regexp_extract("_header", r"(?s)<revisionDesc\b.*?</revisionDesc>", 0)
-    change_tags = F.regexp_extract_all(revision, F.lit(r"(?s)<change\b[^>]*?(?:/>|>.*?</change>)"), F.lit(0))
+    change_tags = F.regexp_extract_all(revision, F.lit(rf"(?s)<change(?=[\s>/]){ATTRS}(?:(?<=/)>|(?<!/)>.*?</change>)"), F.lit(0))
     rows = base.select("object_id", F.posexplode(change_tags).alias("position", "c"))
-    tag = F.regexp_extract("c", r"^<[^>]*>", 0)
+    tag = F.regexp_extract("c", rf"^{TAG}", 0)
     listed = rows.select(
         "object_id",
         "position",
@@ -179,7 +188,7 @@ def changes(documents: DataFrame) -> DataFrame:
         attribute(tag, "subtype").alias("actor_kind"),
         attribute(tag, "when").alias("when"),
         attribute(tag, "target").alias("target"),
-        text.xml_unescape(F.regexp_replace("c", r"<[^>]*>", "")).alias("text"),
+        text.xml_unescape(F.regexp_replace("c", TAG, "")).alias("text"),
     )
     return listed.join(actors, ["object_id", "who"], "left").withColumn("actor", F.coalesce("actor", F.lit(""))).drop("who")
 

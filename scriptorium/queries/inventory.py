@@ -217,10 +217,10 @@ def _(t):
     declared = t.pages.filter(n % 3 < 2).select(
         identifier, F.parse_json(F.when(n % 3 == 0, as_map).otherwise(as_list)).alias("metadata")
     )
-    # one image of two whose page break carries the number 2
+    # one image with several page breaks: the last one in the body counts, those in front of it do not
     markup = F.concat(
         F.lit('<TEI><facsimile><graphic xml:id="a" url="'), F.replace(second, F.lit("&"), F.lit("&amp;")),
-        F.lit('"/></facsimile><text><body><pb n="1"/><pb n="2" facs="#a"/></body></text></TEI>'),
+        F.lit('"/></facsimile><text><front><pb n="9" facs="#a"/></front><body><pb n="3" facs="#a"/><pb n="2" facs="#a"/></body></text></TEI>'),
     )
     in_markup = t.pages.filter(n % 3 == 2).select(identifier, markup.alias("markup"))
     return manifests.remote_images(declared).unionByName(manifests.remote_images_of_markup(in_markup))

@@ -458,3 +458,38 @@ def _(t):
 def _(t):
     html = t.pages.select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("object_id"), F.col("html").alias("markup"))
     return reading.with_well_formed(documents(t).unionByName(html)).select("object_id", "well_formed")
+
+
+# Markup made elsewhere: references, CDATA sections and tags with quoted angle brackets.
+
+_WORD = "regexp_extract(text, '[A-Za-z]{1,40}', 0)"
+
+
+def foreign_documents(t) -> DataFrame:
+    """One document per row of ``documents`` around its first ASCII word."""
+    word = F.expr(_WORD)
+    return t.documents.select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("object_id"),
+        F.concat(
+            F.lit('<TEI><teiHeader><fileDesc><titleStmt><title type="a>b">Br&#252;der <![CDATA[& ]]>'), word,
+            F.lit('</title></titleStmt></fileDesc></teiHeader><text><body><!-- <![CDATA[no]]> --><pb n="1>0"/><p rend="a>b">'), word,
+            F.lit(' <![CDATA[<x & y>]]> &#252;&amp;#65;&#38;lt; &#x1F600; &quot;q&quot;<!-- gone --></p></body></text></TEI>'),
+        ).alias("markup"),
+    )
+
+
+@query(
+    "job13_foreign_character_data",
+    f"""SELECT 'doc-' || CAST(doc_id AS STRING) AS object_id, CAST(1 AS INT) AS page, '1>0' AS label,
+              {_WORD} || ' <x & y> ü&#65;&lt; 😀 "q"' AS text FROM documents""",
+)
+def _(t):
+    return reading.pages(foreign_documents(t)).drop("image")
+
+
+@query(
+    "job12_foreign_title",
+    f"SELECT 'doc-' || CAST(doc_id AS STRING) AS object_id, 'Brüder & ' || {_WORD} AS title FROM documents",
+)
+def _(t):
+    return reading.metadata(foreign_documents(t)).select("object_id", "title")

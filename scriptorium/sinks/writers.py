@@ -6,6 +6,7 @@ the files in name order are the whole export and nothing passes one task.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,8 +128,8 @@ def publish_changed(current: DataFrame, path: str, key: str = "object_id", diges
     rows = current.withColumn("removed", F.lit(False)).withColumn("bucket", bucket)
     try:
         stored = spark.read.parquet(path)
-    except Exception as exc:  # noqa: BLE001 - only a missing folder is expected
-        if "PATH_NOT_FOUND" not in str(exc):
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         rows.repartitionByRange("bucket", key).write.mode("overwrite").partitionBy("bucket").parquet(path)
         return current.select(key)

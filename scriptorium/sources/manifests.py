@@ -114,26 +114,30 @@ def remote_images(metadata: DataFrame, column: str = "metadata") -> DataFrame:
 
 def remote_images_of_markup(documents: DataFrame) -> DataFrame:
     """(object_id, page, url) from facsimile lists: page break number, else position."""
-    from ..plans.reading import attribute, without_prefixes
+    from ..plans.reading import attribute, tag_pattern, without_prefixes
 
     plain = without_prefixes(F.col("markup"))
     base = documents.select("object_id", plain.alias("_plain"))
     images = F.regexp_extract_all(
-        F.regexp_extract("_plain", r"(?s)<facsimile\b.*?</facsimile>", 0), F.lit(r"<graphic\b[^>]*>"), F.lit(0)
+        F.regexp_extract("_plain", r"(?s)<facsimile\b.*?</facsimile>", 0), F.lit(tag_pattern("graphic")), F.lit(0)
     )
-    breaks = F.regexp_extract_all("_plain", F.lit(r"<pb\b[^>]*>"), F.lit(0))
+    body = F.regexp_extract("_plain", rf"(?s){tag_pattern('body')}(.*)</body>", 1)
+    breaks = F.regexp_extract_all(body, F.lit(tag_pattern("pb")), F.lit(0))
     graphics = base.select("object_id", F.posexplode(images).alias("position", "tag")).select(
         "object_id",
         (F.col("position") + 1).alias("position"),
         attribute(F.col("tag"), r"(?:xml:)?id").alias("image_id"),
         attribute(F.col("tag"), "url").alias("url"),
     )
-    pointers = base.select("object_id", F.explode(breaks).alias("tag")).select(
+    pointers = base.select("object_id", F.posexplode(breaks).alias("position", "tag")).select(
         "object_id",
+        "position",
         F.regexp_extract(attribute(F.col("tag"), "facs"), r"^#(.+)$", 1).alias("image_id"),
         attribute(F.col("tag"), "n").alias("n"),
     ).filter((F.col("image_id") != "") & F.col("n").rlike(r"^[0-9]+$"))
-    last = pointers.groupBy("object_id", "image_id").agg(F.max(F.col("n").cast("int")).alias("page"))
+    last = pointers.groupBy("object_id", "image_id").agg(
+        F.max_by(F.col("n").cast("int"), "position").alias("page")
+    )
     return (
         graphics.filter(F.col("url").startswith("http"))
         .join(last, ["object_id", "image_id"], "left")

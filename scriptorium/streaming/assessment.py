@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,41 +19,64 @@ def object_states(pages: DataFrame) -> DataFrame:
     )
 
 
-def known_states(spark: SparkSession, output: str) -> DataFrame:
-    """States recorded by earlier batches; empty before the first one."""
-    empty = spark.createDataFrame([], "object_id string, state_hash string, batch bigint")
+STATE_SCHEMA = "object_id string, state_hash string"
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of the given schema; empty where it does not exist yet."""
     try:
-        stored = spark.read.schema(empty.schema).parquet(output)
-    except Exception as exc:  # noqa: BLE001 - only a missing folder is expected
-        if "PATH_NOT_FOUND" not in str(exc):
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return empty
-    return stored.groupBy("object_id").agg(F.max_by("state_hash", "batch").alias("state_hash"))
+        return spark.createDataFrame([], schema)
+
 
+def _latest(spark: SparkSession, folder: str, before: int) -> int:
+    """The latest batch below ``before`` whose states are complete, -1 if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return -1
+    done = [s.getPath() for s in files.listStatus(path) if files.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    return max((n for n in (int(p.getName()) for p in done) if n < before), default=-1)
 
-def assess_stream(pages: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
+
+def assess_stream(pages: DataFrame, output: str, checkpoint: str, states: str | None = None) -> StreamingQuery:
     """Assess the objects of every micro-batch that are new or changed.
 
-    Objects arrive whole. A repeated batch overwrites its own folder, so a
-    restart after a failure leaves no duplicates.
+    Objects arrive whole. Batch ``n`` is judged against the state of batches below ``n`` alone, and writes its results and then the
+    state after it under its own number, both with overwriting: a repeated batch gives the same rows again. The state is
+    one row per object, so neither results nor earlier batches are read; of the states the latest two are kept.
     """
     spark = pages.sparkSession
+    states = states or f"{checkpoint}-states"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        states = object_states(batch)
-        earlier = known_states(spark, output)
-        if "batch" in earlier.columns:
-            earlier = earlier.drop("batch")
-        fresh = incremental.classify(states, earlier).filter("state <> 'current'").select("object_id", "state_hash")
+        before = _latest(spark, states, batch_id)
+        earlier = _read(spark, f"{states}/{before}", STATE_SCHEMA) if before >= 0 else spark.createDataFrame([], STATE_SCHEMA)
+        now = object_states(batch).select("object_id", "state_hash")
+        fresh = incremental.classify(now, earlier).filter("state <> 'current'").select("object_id", "state_hash")
         todo = batch.join(fresh.select("object_id"), "object_id", "left_semi")
-        done = assess(todo).join(fresh, "object_id")
-        done.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        assess(todo).join(fresh, "object_id").write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        unchanged = earlier.join(now.select("object_id"), "object_id", "left_anti")
+        unchanged.unionByName(now).write.mode("overwrite").parquet(f"{states}/{batch_id}")
+        _drop_states(spark, states, before)
 
     return (
         pages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
+def _drop_states(spark: SparkSession, states: str, before: int) -> None:
+    """Remove states below ``before``; the one before the current batch stays for a repetition."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(states)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        if int(status.getPath().getName()) < before:
+            files.delete(status.getPath(), True)
+
+
 def running_counts(assessed: DataFrame) -> DataFrame:
     """Objects per overall status of a stream, for update or complete mode."""
     return assessed.groupBy("overall_status").agg(F.count(F.lit(1)).alias("objects"))
