@@ -125,8 +125,16 @@ def _gradients(net: Network, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return [*tables, back.sum(axis=0), active.T @ delta, delta.sum(axis=0)]
 
 
+def _told(shares: np.ndarray) -> np.ndarray:
+    """One less the shares' entropy as part of the largest possible one."""
+    if shares.shape[1] == 1:
+        return np.ones(len(shares))
+    return 1 + (shares * np.log(np.maximum(shares, 1e-12))).sum(axis=1) / np.log(shares.shape[1])
+
+
 def predict(net: Network, texts: list[str]) -> tuple[list[str], list[float]]:
-    """Language and score of each text: the mean of its windows' shares, weighted by the bytes they cover."""
+    """Language and score of each text: the mean of its windows' shares, weighted by the bytes they cover and by how far the
+    shares are from even, so stretches that tell nothing (numbers, junk) have little say."""
     names, scores = [], []
     for start, end in pieces(texts, 1_000_000):
         cut = [windows_of(t) for t in texts[start:end]]
@@ -134,7 +142,8 @@ def predict(net: Network, texts: list[str]) -> tuple[list[str], list[float]]:
         sizes = np.array([len(c) for _, c in cut])
         covered = np.concatenate([c for _, c in cut])[:, None]
         firsts = np.cumsum(sizes) - sizes
-        mean = np.add.reduceat(shares * covered, firsts) / np.add.reduceat(covered, firsts)
+        weight = covered * (_told(shares)[:, None] + 1e-6)
+        mean = np.add.reduceat(shares * weight, firsts) / np.add.reduceat(weight, firsts)
         names += [net.languages[i] for i in mean.argmax(axis=1)]
         scores += np.clip(mean.max(axis=1), 0, 1).tolist()
     return names, scores
