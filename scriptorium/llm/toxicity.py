@@ -23,10 +23,10 @@ from .common import id_remainder, passage, sampled_by_hash
 WINDOW_WORDS, WINDOW_BYTES = 10, 160
 #: Documents of either kind that training may use, and the characters taken from each.
 TRAIN_TOXIC, TRAIN_ORDINARY, TRAIN_CHARS = 2400, 4800, 4000
-TOXIC_BYTES, ORDINARY_BYTES = 8192, 8192
+TOXIC_BYTES, ORDINARY_BYTES = 8192, 12288
 #: A marking word: found in so large a part of the toxic documents (three at least), so many times as often as in ordinary
 #: ones, with so large a part of new neighbours.
-LEAST_PART, RATIO, NEW_NEIGHBOURS = 0.008, 12.0, 0.7
+LEAST_PART, RATIO, NEW_NEIGHBOURS = 0.015, 12.0, 0.7
 #: Lower ends of the bins in which gains (bytes) are counted.
 BINS = np.array([-2, -1, 0, 1, 2, 3, 4, 5, 6, 8, 10])
 MARKED = 4
@@ -61,7 +61,7 @@ class Model:
 
     def compressors(self) -> list:
         if self._pair is None:
-            self._pair = [_compressor(self.ordinary), _compressor(self.ordinary + self.toxic)]
+            self._pair = [_compressor(self.ordinary), _compressor(self.toxic + self.ordinary)]
         return self._pair
 
     def gains(self, text: str) -> np.ndarray:
