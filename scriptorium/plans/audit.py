@@ -105,7 +105,7 @@ def audit(files: DataFrame) -> DataFrame:
 
     ``files`` carries (object_id, value): file stem and JSON text.
     """
-    # Parsed once; eight rule families read the result.
+    # Parsed once; nine rule families read the result.
     documents = checkpointed(contract.parse_documents(files))
     pages = contract.document_pages(documents)
     typed = fingerprints.with_page_state(contract.typed_pages(pages))
@@ -125,6 +125,7 @@ def audit(files: DataFrame) -> DataFrame:
         reviews.audit_reviews(log).drop("seq"),
         state,
         reviews.audit_edits(edits, typed).drop("seq"),
+        contract.edit_shape_violations(pages),
     ):
         found = found.unionByName(part)
     return found

@@ -12,6 +12,12 @@ from .registry import query
 
 # One mutation per document, by doc_id: (text to replace, replacement, broken rules).
 # The first entry leaves the document intact.
+_REVIEW = '"review":{"status":"machine_unreviewed","history":[]}'
+_EDIT = (
+    '{{"id":"01234567-89ab-4cde-8f01-23456789abcd","timestamp":"2024-01-01T10:00:00Z","actor":"a","actor_kind":"human","note":"n",'
+    '"before":{before},"after":{after}}}'
+)
+
 MUTATIONS: list[tuple[str, str, list[str]]] = [
     ("", "", []),
     ('"page":1,"transcription"', '"page":2,"transcription"', ["page.sequence", "origin.raw_hash"]),
@@ -60,6 +66,16 @@ MUTATIONS: list[tuple[str, str, list[str]]] = [
     ('"pages":[{', '"leaves":[{', ["file.pages"]),
     ('{"object_id"', '{object_id', ["file.shape"]),
     ('"history":[]', '"history":[{"status":"in_review","from_status":"machine_unreviewed","actor":"a","timestamp":"2024-01-01T10:00:00Z"}]', ["review_status_stale"]),
+    (_REVIEW, _REVIEW + ',"edits":5', ["page.edits_shape"]),
+    (_REVIEW, _REVIEW + ',"edits":[' + _EDIT.format(before="7", after='{"transcription":"x","notes":"n","more":"m"}') + "]", ["edit_chain_end", "edit_shape"]),
+    (_REVIEW, _REVIEW + ',"edits":[' + _EDIT.format(before='{"transcription":"a","notes":7}', after='{"transcription":"x","notes":"n"}') + "]", ["edit_chain_end", "edit_shape"]),
+    (_REVIEW, _REVIEW + ',"edits":[7]', ["edit_chain_end", "edit_id_or_time", "edit_no_actor", "edit_no_note", "edit_shape", "edit_unknown_actor_kind", "edit_without_change"]),
+    ('"transcription_raw":"', '"transcription_raw":"Z', ["origin.raw_hash", "page.changed_unreviewed"]),
+    ('"pipeline_step":3,"provider":"p","model":"m"', '"pipeline_step":4', ["_meta.step4_unexpected"]),
+    ('"pipeline_step":3,"provider":"p"', '"pipeline_step":4', ["_meta.step4_calls", "_meta.step4_provider"]),
+    ('"pipeline_step":3,"provider":"p","model":"m"', '"pipeline_step":4,"provider":"p"', ["_meta.step4_calls", "_meta.step4_model"]),
+    ('"pipeline_step":3,"provider":"p","model":"m","prompt_template":"transcription.md"', '"pipeline_step":4,"provider":"p","model":"m"', ["_meta.step4_calls", "_meta.step4_prompt_template"]),
+    ('"pipeline_step":3', '"pipeline_step":4', ["_meta.step4_calls"]),
 ]
 
 
