@@ -1,31 +1,42 @@
 """Edit distance split into recognition errors and inserted blocks.
 
-One minimal alignment decides the split. It is found with the bit-parallel
-column recurrence of Myers and Hyyrö; Python integers serve as bit vectors. The
-traceback runs from the end and prefers a deletion, then an insertion, then the
-diagonal. Pairs whose column history would not fit in memory are halved first
-(Hirschberg), so every pair is aligned exactly, whatever its length.
+One minimal alignment decides the split, for pairs of every length. It is found with the bit-parallel column recurrence
+of Myers and Hyyrö; Python integers serve as bit vectors. The traceback runs from the end and prefers a deletion, then an
+insertion, then the diagonal. Of the columns only every k-th is kept (k is the root of their number) and the ones between
+are computed again when the traceback gets there, so memory grows with the root of the second text's length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-HISTORY_BITS = 1 << 30  # 2 bits per cell kept: at most 256 MiB per pair
+#: Vertical +1 and -1 differences of one column.
+Column = tuple[int, int]
 
 
-def _columns(source: str, target: str) -> Iterator[tuple[int, int]]:
-    """Vertical +1 and -1 differences after each target character."""
-    full = (1 << len(source)) - 1
-    places: dict[str, int] = {}
+def _places(source: str) -> dict[str, int]:
+    """The positions of each character as a bit vector."""
+    listed: dict[str, list[int]] = {}
     for i, char in enumerate(source):
-        places[char] = places.get(char, 0) | (1 << i)
-    up, down = full, 0
+        listed.setdefault(char, []).append(i)
+    return {char: _bits(at, len(source)) for char, at in listed.items()}
+
+
+def _bits(positions: list[int], size: int) -> int:
+    raw = bytearray(size // 8 + 1)
+    for i in positions:
+        raw[i >> 3] |= 1 << (i & 7)
+    return int.from_bytes(raw, "little")
+
+
+def _columns(places: dict[str, int], full: int, start: Column, target: str) -> Iterator[Column]:
+    """The columns after each character of ``target``, from the column ``start`` on."""
+    up, down = start
     for char in target:
         match = places.get(char, 0)
         diagonal = ((((match & up) + up) ^ up) | match | down) & full
@@ -37,36 +48,27 @@ def _columns(source: str, target: str) -> Iterator[tuple[int, int]]:
         yield up, down
 
 
-def _last_costs(source: str, target: str) -> np.ndarray:
-    """Distances of every source prefix to the whole target."""
-    up, down = (1 << len(source)) - 1, 0
-    for up, down in _columns(source, target):
-        pass
-    size = (len(source) + 7) // 8
-    bits = [
-        np.unpackbits(np.frombuffer(v.to_bytes(size, "little"), np.uint8), bitorder="little")[: len(source)]
-        for v in (up, down)
-    ]
-    return len(target) + np.concatenate([[0], np.cumsum(bits[0].astype(np.int64) - bits[1])])
-
-
-def _operations(source: str, target: str) -> str:
-    """Minimal alignment as one letter per step: d, i, r or = in text order."""
+def _operations(source: str, target: str, block: int | None = None) -> str:
+    """Minimal alignment as one letter per step: d, i, r or = in text order; the same for every ``block``."""
     if not source or not target:
         return "d" * len(source) + "i" * len(target)
-    if len(source) * len(target) > HISTORY_BITS and len(target) > 1:
-        half = len(target) // 2
-        total = _last_costs(source, target[:half]) + _last_costs(source[::-1], target[half:][::-1])[::-1]
-        cut = int(np.argmin(total))
-        return _operations(source[:cut], target[:half]) + _operations(source[cut:], target[half:])
-    history = list(_columns(source, target))
+    places, full = _places(source), (1 << len(source)) - 1
+    block = block or isqrt(len(target)) + 1
+    kept = [(full, 0)]
+    for j, column in enumerate(_columns(places, full, kept[0], target), 1):
+        if j % block == 0:
+            kept.append(column)
     steps: list[str] = []
-    i, j = len(source), len(target)
+    i, j, first, columns = len(source), len(target), len(target), []
     while i and j:
-        if (history[j - 1][0] >> (i - 1)) & 1:
+        if j <= first:  # columns first ... first + block of the block that ends at or behind j
+            first = (j - 1) // block * block
+            start = kept[first // block]
+            columns = [start, *_columns(places, full, start, target[first : first + block])]
+        if (columns[j - first][0] >> (i - 1)) & 1:
             i -= 1
             steps.append("d")
-        elif j > 1 and (history[j - 2][1] >> (i - 1)) & 1:
+        elif (columns[j - first - 1][1] >> (i - 1)) & 1:
             j -= 1
             steps.append("i")
         else:

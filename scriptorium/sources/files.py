@@ -73,7 +73,7 @@ def classify_sources(files: DataFrame, page_counts: DataFrame | None = None) ->
         document_id(F.col("path")).alias("doc_id"),
         "path",
         "source_type",
-        F.substring(extension(F.col("path")), 2, 10).alias("format"),
+        F.regexp_replace(extension(F.col("path")), r"^\.", "").alias("format"),
         F.regexp_replace("path", r"/?[^/]*$", "").alias("folder"),
         pages.alias("file_pages"),
     )

@@ -97,13 +97,15 @@ def test_split_sums_to_the_distance():
         assert fidelity + scope == levenshtein(a, b)
 
 
-def test_halving_gives_the_same_distance(monkeypatch):
-    monkeypatch.setattr(alignment, "HISTORY_BITS", 64)
-    random.seed(8)
-    for _ in range(100):
-        a = "".join(random.choices("abcd", k=random.randint(0, 60)))
-        b = "".join(random.choices("abcd", k=random.randint(0, 60)))
-        assert sum(alignment.split_distance(a, b, 5)) == levenshtein(a, b)
+def test_the_alignment_is_the_same_for_every_block_size():
+    rng = random.Random(11)
+    for _ in range(1000):
+        a = "".join(rng.choice("abcd") for _ in range(rng.randrange(0, 60)))
+        b = "".join(rng.choice("abcd") for _ in range(rng.randrange(0, 60)))
+        whole = alignment._operations(a, b, 10_000)
+        assert all(alignment._operations(a, b, block) == whole for block in (1, 2, 3, 7, 60))
+        assert alignment._operations(a, b) == whole
+        assert len(whole) - whole.count("=") == levenshtein(a, b)
 
 
 def test_one_decimal_is_the_nearest_tenth_of_the_binary_value(spark):
