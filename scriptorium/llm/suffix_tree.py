@@ -14,6 +14,7 @@ words that are sent to tasks; all other words meet their counts in a join.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -116,16 +117,16 @@ def _mask(symbols: int) -> int:
 def retained(grams: DataFrame) -> DataFrame:
     """(depth, gram, n): next-symbol counts of all retained contexts; the lowest ``depth + 1`` bytes of a gram are context and symbol."""
     level = {d: grams.groupBy(F.col("gram").bitwiseAND(_mask(d + 1)).alias("gram")).agg(F.sum("n").alias("n")) for d in range(DEPTH + 1)}
-    total = F.sum("n").over
-    every = level[0].agg(F.sum("n").alias("all"))
-    shares = {d: level[d].withColumn("total", total(Window.partitionBy(F.shiftright("gram", 8)))) for d in level}
+    symbols = level[0].agg(F.sum("n")).first()[0] or 1
+    total = F.sum("n").over(Window.partitionBy(F.shiftright("gram", 8)))
+    shares = {d: level[d].withColumn("total", total) for d in level}
     out = level[0].select(F.lit(0).alias("depth"), "gram", "n")
     for d in range(1, DEPTH + 1):
-        frequent = shares[d].crossJoin(F.broadcast(every)).where(F.col("total") >= LEAST_PART * F.col("all"))
+        frequent = shares[d].where(F.col("total") >= LEAST_PART * symbols)
         above = shares[d - 1].select(F.col("gram").alias("suffix"), F.col("n").alias("m"), F.col("total").alias("suffix_total"))
         both = frequent.join(above, frequent["gram"].bitwiseAND(_mask(d)) == F.col("suffix"))
         gain = F.sum(F.col("n") * F.log(F.col("n") * F.col("suffix_total") / (F.col("total") * F.col("m"))))
-        kept = both.withColumn("gain", gain.over(Window.partitionBy(F.shiftright("gram", 8)))).where(F.col("gain") >= CUTOFF * F.log("all"))
+        kept = both.withColumn("gain", gain.over(Window.partitionBy(F.shiftright("gram", 8)))).where(F.col("gain") >= CUTOFF * math.log(symbols))
         out = out.unionByName(kept.select(F.lit(d).alias("depth"), "gram", "n"))
     return out
 
@@ -201,10 +202,9 @@ def scored(docs: DataFrame, folds: int = 10) -> DataFrame:
     counts = written(counted(docs.where(rest != 0)), "counts")
     words = counts.where("gram = -1").select("word", F.col("n").alias("c"))
     n, v = (x or 0 for x in words.agg(F.sum("c"), F.count("*")).first())
-    frequent = words.where((F.col("c") >= FREQUENT_PART * n) | (F.col("word") == END)).toPandas()
-    shared = spark.sparkContext.broadcast(
-        (Tree.of(retained(counts.where("word = ''")).toPandas()), dict(zip(map(str.encode, frequent["word"]), frequent["c"].tolist())))
-    )
+    frequent = words.where((F.col("c") >= FREQUENT_PART * n) | (F.col("word") == END)).toArrow().to_pydict()
+    known = dict(zip(map(str.encode, frequent["word"]), frequent["c"]))
+    shared = spark.sparkContext.broadcast((Tree.of(retained(counts.where("word = ''")).toArrow().to_pandas()), known))
     fixed = float(np.log10(n + 0.1 * (v + 1)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
