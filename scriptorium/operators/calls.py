@@ -61,12 +61,10 @@ def call_log_violations(calls: DataFrame, page_counts: DataFrame) -> DataFrame:
             Check(
                 "calls_chunks",
                 F.col("chunks").isNotNull() & ~F.coalesce(numbered, F.lit(False)),
-                "prompt chunks are not consecutive from 1",
             ),
             Check(
                 "calls_coverage",
                 ~F.coalesce(covered, F.lit(False)),
-                "prompt calls do not cover every page exactly once",
             ),
         ],
         "object_id",
@@ -89,7 +87,6 @@ def call_log_violations(calls: DataFrame, page_counts: DataFrame) -> DataFrame:
     ).select(
         "object_id",
         F.lit("calls_retries").alias("code"),
-        F.format_string("prompt retries for chunk %d are inconsistent", "chunk").alias("message"),
     )
     return whole.unionByName(broken)
 

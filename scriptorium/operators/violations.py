@@ -1,4 +1,4 @@
-"""Rules as data: code, condition, message; collected without shuffling."""
+"""Rules as data: code and condition; collected without shuffling."""
 
 from __future__ import annotations
 
@@ -14,26 +14,19 @@ class Check:
 
     code: str
     broken: Column
-    message: Column | str
 
 
 def violation_array(checks: list[Check]) -> Column:
     """Array of the broken rules of a row, in rule order."""
     found = [
-        F.when(
-            check.broken,
-            F.struct(
-                F.lit(check.code).alias("code"),
-                (F.lit(check.message) if isinstance(check.message, str) else check.message).alias("message"),
-            ),
-        )
+        F.when(check.broken, F.struct(F.lit(check.code).alias("code")))
         for check in checks
     ]
     return F.array_compact(F.array(*found))
 
 
 def violations(df: DataFrame, checks: list[Check], *keys: str) -> DataFrame:
-    """One row per broken rule: keys, code, message.
+    """One row per broken rule: keys, code.
 
     The outer form keeps the optimizer from deriving a size filter out of the
     whole rule list and pushing a second copy of it below the projections.
@@ -43,9 +36,7 @@ def violations(df: DataFrame, checks: list[Check], *keys: str) -> DataFrame:
 
 def quarantine(found: DataFrame, stage: str = "contract") -> DataFrame:
     """Error rows (object_id, error, stage) of broken rules."""
-    return found.select(
-        "object_id", F.concat_ws(": ", "code", "message").alias("error"), F.lit(stage).alias("stage")
-    )
+    return found.select("object_id", F.col("code").alias("error"), F.lit(stage).alias("stage"))
 
 
 def without_violations(df: DataFrame, found: DataFrame, *keys: str) -> DataFrame:

@@ -64,20 +64,18 @@ def bound_violations(documents: DataFrame, pages: DataFrame) -> DataFrame:
         joined,
         [
             violations.Check(
-                "origin.images", F.col("model_origin") & F.col("no_images"), "no top-level source_images filenames"
+                "origin.images", F.col("model_origin") & F.col("no_images")
             ),
             violations.Check(
                 "origin.raw_hash",
                 F.col("model_origin") & ~F.col("recorded_raw").eqNullSafe(F.col("raw_hash")),
-                "raw transcription hash does not match the model text",
             ),
             violations.Check(
                 "origin.image_count",
                 F.col("model_origin") & (F.col("image_states") != F.col("page_count")),
-                "source image state count does not match pages",
             ),
             violations.Check(
-                "quality.stale", F.col("has_signals") & stale, "quality_signals page types do not match the pages"
+                "quality.stale", F.col("has_signals") & stale
             ),
         ],
         "object_id",
@@ -96,12 +94,12 @@ def missing_raw_text(documents: DataFrame, pages: DataFrame) -> DataFrame:
         pages.filter(page.is_object & ~page["transcription_raw"].present)
         .select("object_id", (F.col("position") + 1).alias("page"))
         .join(runs, "object_id", "left_semi")
-        .select("object_id", "page", F.lit("origin.raw_missing").alias("code"), F.lit("no raw model transcription").alias("message"))
+        .select("object_id", "page", F.lit("origin.raw_missing").alias("code"))
     )
 
 
 def audit(files: DataFrame) -> DataFrame:
-    """Every broken rule of a corpus: object_id, page, code, message.
+    """Every broken rule of a corpus: object_id, page, code.
 
     ``files`` carries (object_id, value): file stem and JSON text.
     """

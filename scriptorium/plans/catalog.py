@@ -103,23 +103,20 @@ def publication_blockers(
     return violations(
         joined,
         [
-            Check("invalid", ~valid, "document is invalid"),
-            Check("no_transcription", valid & ~known, "no readable canonical transcription records its acceptance"),
-            Check("contract", valid & known & ~conformant, "canonical transcription violates the data contract"),
+            Check("invalid", ~valid),
+            Check("no_transcription", valid & ~known),
+            Check("contract", valid & known & ~conformant),
             Check(
                 "not_accepted",
                 valid & known & conformant & ~F.coalesce("all_accepted", F.lit(False)),
-                "pages whose recorded human review is not accepted",
             ),
             Check(
                 "annotations",
                 valid & ~F.coalesce(F.col("state"), F.lit("absent")).isin("absent", "current"),
-                "stale, unbound or unverifiable annotations",
             ),
             Check(
                 "status",
                 valid & (F.coalesce("review_status", F.lit("")) != "accepted"),
-                F.concat(F.lit("human review status is "), F.coalesce(text.non_empty(F.col("review_status")), F.lit("missing"))),
             ),
         ],
         "object_id",

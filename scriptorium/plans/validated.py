@@ -65,7 +65,7 @@ def stale_signals(recorded: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def validated_violations(documents: DataFrame) -> DataFrame:
-    """Rules of validated documents beyond the contract: object_id, code, message."""
+    """Rules of validated documents beyond the contract: object_id, code."""
     base = checkpointed(documents).filter("readable")
     doc = Node(F.col("doc"))
     meta, validation = doc["_meta"], doc["validation"]
@@ -74,16 +74,16 @@ def validated_violations(documents: DataFrame) -> DataFrame:
     whole = violations(
         fields_of(base, fields, node),
         [
-            Check("validated.step", ~F.col("_step4"), "_meta.pipeline_step is not 4"),
-            Check("validated.state_hash", F.col("_step4") & ~F.col("_recorded_state").eqNullSafe(F.col("_state")), "state hash does not match the transcription"),
-            Check("validated.result_hash", ~F.col("_recorded_result").eqNullSafe(F.col("_result")), "result hash does not match the findings"),
-            Check("validated.origin", ~F.col("_origin"), "no transcription_meta provenance"),
-            Check("validated.status", ~F.coalesce(F.col("_status").isin(vocab.OVERALL_STATUSES), F.lit(False)), "no known overall_status"),
-            Check("validated.findings", ~F.col("_has_validation"), "no validation object"),
-            Check("validated.rules", F.col("_has_validation") & ~F.col("_has_rules"), "validation.rules is not a list"),
-            Check("validated.stats", F.col("_has_validation") & ~F.col("_has_stats"), "validation.per_page_stats is not a list"),
-            Check("validated.judge_alone", ~F.col("_judged") & F.col("_has_judge"), "carries verdicts without model provenance"),
-            Check("validated.judge", F.col("_judged") & ~F.col("_has_judge"), "verdicts do not cover all pages"),
+            Check("validated.step", ~F.col("_step4")),
+            Check("validated.state_hash", F.col("_step4") & ~F.col("_recorded_state").eqNullSafe(F.col("_state"))),
+            Check("validated.result_hash", ~F.col("_recorded_result").eqNullSafe(F.col("_result"))),
+            Check("validated.origin", ~F.col("_origin")),
+            Check("validated.status", ~F.coalesce(F.col("_status").isin(vocab.OVERALL_STATUSES), F.lit(False))),
+            Check("validated.findings", ~F.col("_has_validation")),
+            Check("validated.rules", F.col("_has_validation") & ~F.col("_has_rules")),
+            Check("validated.stats", F.col("_has_validation") & ~F.col("_has_stats")),
+            Check("validated.judge_alone", ~F.col("_judged") & F.col("_has_judge")),
+            Check("validated.judge", F.col("_judged") & ~F.col("_has_judge")),
         ],
         "object_id",
     )
@@ -107,9 +107,9 @@ def validated_violations(documents: DataFrame) -> DataFrame:
     )
     judge = calls.judge_coverage_violations(verdicts, executed, pages.join(judged.select("object_id"), "object_id", "left_semi"))
     return (
-        whole.unionByName(stats.select("object_id", "code", F.lit("per_page_stats are stale").alias("message")))
-        .unionByName(totals.select("object_id", F.lit("stats_total").alias("code"), F.lit("total_characters is stale").alias("message")))
-        .unionByName(judge.select("object_id", "code", F.lit("verdicts and calls do not cover the pages").alias("message")))
+        whole.unionByName(stats.select("object_id", "code"))
+        .unionByName(totals.select("object_id", F.lit("stats_total").alias("code")))
+        .unionByName(judge.select("object_id", "code"))
     )
 
 

@@ -120,7 +120,7 @@ def _(t):
 @query(
     "job16_evaluation_report",
     """SELECT fixture_id, 'cer' AS metric, CASE WHEN reference_chars > 0 THEN 'ok' ELSE 'error' END AS status,
-              CAST(reference_chars AS INT) AS n, profile, CASE WHEN reference_chars = 0 THEN 'reference text is empty after extraction' END AS message FROM scored""",
+              CAST(reference_chars AS INT) AS n, profile, CASE WHEN reference_chars = 0 THEN 'empty_reference' END AS message FROM scored""",
     {"scored": SCORED},
 )
 def _(t):
