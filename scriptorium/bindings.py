@@ -199,11 +199,11 @@ BINDINGS: dict[str, tuple[list[str], str]] = {
         ["conversations"],
         """
         SELECT 'conv-' || CAST(a.conv_id AS STRING) || '/' || CAST(b.turn AS STRING) AS fixture_id,
-               a.fold AS reference,
-               b.fold AS hypothesis,
+               a.text AS reference,
+               b.text AS hypothesis,
                CASE WHEN a.conv_id % 2 = 0 THEN 'hsa-strict' ELSE 'zbz-fidelity' END AS profile
-        FROM (SELECT conv_id, turn, translate(text, 'äöüßéèêëáàâçñóòôíìîïúùûÄÖÜÉÈÊÁÀÂÇÑÓÍÚÓ', 'aouseeeeaaacnoooiiiiuuuAOUEEEAAACNOIUO') AS fold FROM conversations) a
-        JOIN (SELECT conv_id, turn, translate(text, 'äöüßéèêëáàâçñóòôíìîïúùûÄÖÜÉÈÊÁÀÂÇÑÓÍÚÓ', 'aouseeeeaaacnoooiiiiuuuAOUEEEAAACNOIUO') AS fold FROM conversations) b
+        FROM (SELECT conv_id, turn, text FROM conversations) a
+        JOIN (SELECT conv_id, turn, text FROM conversations) b
           ON b.conv_id = a.conv_id AND b.turn = a.turn + 1""",
     ),
     # current content version and update requests per page

@@ -102,6 +102,11 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], name: str) -> Dat
     return out.withColumn(name, F.col(name) + 1).drop(SEGMENT)
 
 
+def in_order(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
+    """1-based position of each row in the order of the whole table, without bringing it into one task."""
+    return numbered(df.withColumn("_whole", F.lit(0)), ["_whole"], order, name).drop("_whole")
+
+
 def ordered_concat(
     df: DataFrame,
     keys: list[str],

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing, markers, text, values
 from .assessment import round_one_sql
+from .evaluation import one_byte
 from .registry import query
 
 ILLEGIBLE = r"\[\.\.\.(?:\s*~\s*\d+\s*chars?)?\]"
@@ -371,15 +372,15 @@ def _(t):
 
 @query(
     "fn_levenshtein_and_similarity",
-    """SELECT fixture_id, CAST(d AS INT) AS distance,
+    f"""SELECT fixture_id, CAST(d AS INT) AS distance,
               CASE WHEN n = 0 THEN 1.0 ELSE 1.0 - CAST(d AS DOUBLE) / n END AS similarity
-       FROM (SELECT fixture_id, levenshtein(regexp_replace(reference, '[^ -~]', '?', 'g'), regexp_replace(hypothesis, '[^ -~]', '?', 'g')) AS d,
+       FROM (SELECT fixture_id, levenshtein({one_byte("reference")}, {one_byte("hypothesis")}) AS d,
                     greatest(length(reference), length(hypothesis)) AS n FROM pairs_v)""",
 )
 def _(t):
     from ..plans.evaluation import similarity
 
-    reference, hypothesis = (F.regexp_replace(c, "[^ -~]", "?") for c in ("reference", "hypothesis"))
+    reference, hypothesis = F.col("reference"), F.col("hypothesis")
     return t.pairs_v.select(
         "fixture_id",
         F.levenshtein(reference, hypothesis).alias("distance"),

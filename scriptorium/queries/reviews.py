@@ -224,20 +224,20 @@ def _(t):
     """SELECT object_id FROM objects_v o WHERE EXISTS (SELECT 1 FROM edits_v e WHERE e.object_id = o.object_id)""",
 )
 def _(t):
-    return t.objects_v.join(t.edits_v, "object_id", "left_semi").select("object_id")
+    from ..operators import incremental
+
+    previous = t.objects_v.select("object_id", F.lit(True).alias("valid"))
+    return incremental.refuse_forced(t.objects_v.select("object_id"), t.edits_v, previous).select("object_id")
 
 
 @query(
     "srt07_events_by_time",
-    """SELECT object_id, page, seq, event_time FROM review_v WHERE event_time LIKE '%+00:00' ORDER BY event_time, seq""",
+    """SELECT object_id, page, seq, event_time, row_number() OVER (ORDER BY event_time, seq, object_id, page) AS position
+       FROM review_v WHERE event_time LIKE '%+00:00'""",
 )
 def _(t):
-    return (
-        t.review_v.withColumn("instant", values.aware_timestamp(F.col("event_time")))
-        .filter("instant IS NOT NULL")
-        .orderBy("instant", "seq")
-        .select("object_id", "page", "seq", "event_time")
-    )
+    timed = t.review_v.withColumn("instant", values.aware_timestamp(F.col("event_time"))).filter("instant IS NOT NULL")
+    return ordered.in_order(timed, ["instant", "seq", "object_id", "page"]).select("object_id", "page", "seq", "event_time", "position")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import hashing, text
 from ..operators import calls, fingerprints, incremental, quality, selection
+from ..operators.ordered import in_order
 from ..plans import ingestion, inventory, prompts, review, validated
 from .assessment import MEASURES, blocks
 from .registry import query
@@ -592,12 +593,16 @@ def _(t):
     )
 
 
-@query("srt02_casefolded_order", "SELECT id FROM (SELECT CASE WHEN doc_id % 2 = 0 THEN 'DOC-' ELSE 'doc-' END || CAST(doc_id AS STRING) AS id FROM documents) ORDER BY lower(id), id")
+@query(
+    "srt02_casefolded_order",
+    """SELECT id, row_number() OVER (ORDER BY lower(id), id) AS position
+       FROM (SELECT CASE WHEN doc_id % 2 = 0 THEN 'DOC-' ELSE 'doc-' END || CAST(doc_id AS STRING) AS id FROM documents)""",
+)
 def _(t):
     rows = t.documents.select(
         F.concat(F.when(F.col("doc_id") % 2 == 0, "DOC-").otherwise("doc-"), F.col("doc_id").cast("string")).alias("id")
     )
-    return rows.orderBy(F.lower("id"), "id")
+    return in_order(rows.withColumn("folded", F.lower("id")), ["folded", "id"]).drop("folded")
 
 
 @query(
@@ -671,12 +676,12 @@ def _(t):
 
 @query(
     "win13_paragraph_index",
-    r"""SELECT doc_id, CAST(i - 1 AS INT) AS idx, sha256(p) AS para FROM (SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i
-        FROM (SELECT doc_id, string_split(trim(text, ' ' || chr(10)), chr(10)) AS ps FROM documents))""",
+    r"""SELECT object_id, page, CAST(i - 1 AS INT) AS idx, sha256(p) AS para FROM (SELECT object_id, page, unnest(ps) AS p, generate_subscripts(ps, 1) AS i
+        FROM (SELECT object_id, page, regexp_split_to_array(trim(transcription, ' ' || chr(10)), '\n{2,}') AS ps FROM pages_v))""",
 )
 def _(t):
-    return t.documents.select("doc_id", F.posexplode(F.split(text.strip(F.col("text")), "\n", -1)).alias("idx", "p")).select(
-        "doc_id", "idx", F.sha2("p", 256).alias("para")
+    return t.pages_v.select("object_id", "page", F.posexplode(text.paragraphs(F.col("transcription"))).alias("idx", "p")).select(
+        "object_id", "page", "idx", F.sha2("p", 256).alias("para")
     )
 
 
