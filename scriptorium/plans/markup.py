@@ -286,6 +286,14 @@ def document_fragments(
     return out.unionByName(page_fragments(pages, diplomatic).drop("page"))
 
 
+def skeletons(fragments: DataFrame) -> DataFrame:
+    """(object_id, markup) without the pages: header, image list and frame. What is joined does not grow with the texts."""
+    piece = F.struct("section", "ordinal", "fragment")
+    return fragments.filter(F.col("section") != PAGE).groupBy("object_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["fragment"]), "").alias("markup")
+    )
+
+
 def assemble(fragments: DataFrame, max_chars: int = MAX_DOCUMENT_CHARS) -> tuple[DataFrame, DataFrame]:
     """(documents, oversized fragments).
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions import text
 from ..functions.text import provenance_value
+from ..operators.ordered import numbered
 
 
 #: What stands between a tag's name and its end; a quoted value may hold a ``>``.
@@ -127,26 +128,48 @@ def pages(documents: DataFrame) -> DataFrame:
     The body is split at its page breaks inside the row; text before the first
     break belongs to no page, and a body without breaks is one page.
     """
-    body = F.regexp_extract(without_prefixes(F.col("markup")), rf"(?s){tag_pattern('body')}(.*)</body>", 1)
-    breaks = F.lit(tag_pattern("pb"))
+    plain = without_prefixes(F.col("markup"))
+    body = F.regexp_extract(plain, rf"(?s){tag_pattern('body')}(.*)</body>", 1)
     found = documents.filter(F.col("markup").rlike(r"<([A-Za-z_][\w.-]*:)?body\b")).select(
         "object_id", body.alias("_body"), image_links(F.col("markup")).alias("_links")
     )
-    tags = F.regexp_extract_all("_body", breaks, F.lit(0))
+    rows = _split_at_breaks(found, "object_id", "_links")
+    sequence = (F.col("_position") + 1).cast("int")
+    return rows.select(
+        "object_id",
+        sequence.alias("page"),
+        _label(sequence),
+        plain_text(F.col("_inner")).alias("text"),
+        F.coalesce(F.element_at("_links", F.col("_pointer")), F.col("_pointer")).alias("image"),
+    )
+
+
+def pages_of_fragments(fragments: DataFrame, skeletons: DataFrame) -> DataFrame:
+    """The same pages from page fragments (object_id, ordinal, fragment) and skeletons, for objects of any size."""
+    numbers = numbered(fragments.select("object_id", "ordinal"), ["object_id"], ["ordinal"], "page")
+    bodies = fragments.select("object_id", "ordinal", without_prefixes(F.col("fragment")).alias("_body"))
+    rows = _split_at_breaks(bodies, "object_id", "ordinal").join(numbers, ["object_id", "ordinal"])
+    links = skeletons.select("object_id", F.explode(image_links(F.col("markup"))).alias("_pointer", "_url"))
+    page = F.col("page").cast("int")
+    return rows.join(links, ["object_id", "_pointer"], "left").select(
+        "object_id", page.alias("page"), _label(page), plain_text(F.col("_inner")).alias("text"), F.coalesce("_url", "_pointer").alias("image")
+    )
+
+
+def _split_at_breaks(bodies: DataFrame, *keep: str) -> DataFrame:
+    """Rows (keep, _position, _tag, _pointer, _inner) of ``_body`` between its page breaks."""
+    tags = F.regexp_extract_all("_body", F.lit(tag_pattern("pb")), F.lit(0))
     parts = F.split("_body", tag_pattern("pb"), -1)
     paired = F.when(
         F.size(tags) > 0, F.arrays_zip(tags.alias("tag"), F.slice(parts, 2, F.size(tags)).alias("inner"))
     ).otherwise(F.array(F.struct(F.lit("").alias("tag"), F.col("_body").alias("inner"))))
-    rows = found.select("object_id", "_links", F.posexplode(paired).alias("_position", "_page"))
-    pointer = attribute(F.col("_page.tag"), "facs")
-    sequence = F.col("_position") + 1
-    return rows.select(
-        "object_id",
-        sequence.cast("int").alias("page"),
-        F.coalesce(text.non_empty(attribute(F.col("_page.tag"), "n")), sequence.cast("string")).alias("label"),
-        plain_text(F.col("_page.inner")).alias("text"),
-        F.coalesce(F.element_at("_links", pointer), pointer).alias("image"),
-    )
+    rows = bodies.select(*keep, F.posexplode(paired).alias("_position", "_page"))
+    tag = F.col("_page.tag")
+    return rows.select(*keep, "_position", tag.alias("_tag"), attribute(tag, "facs").alias("_pointer"), F.col("_page.inner").alias("_inner"))
+
+
+def _label(sequence: Column) -> Column:
+    return F.coalesce(text.non_empty(attribute(F.col("_tag"), "n")), sequence.cast("string")).alias("label")
 
 
 def resolve_images(page_rows: DataFrame, local_images: DataFrame, bound: DataFrame | None = None) -> DataFrame:

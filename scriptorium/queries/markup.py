@@ -35,11 +35,22 @@ def header_objects(t) -> DataFrame:
     )
 
 
+def fragments(t, edits: bool = False) -> DataFrame:
+    return markup.document_fragments(header_objects(t), url_pages(t), t.edits_v if edits else None, PROJECT)
+
+
 def documents(t, edits: bool = False) -> DataFrame:
-    fragments = markup.document_fragments(
-        header_objects(t), url_pages(t), t.edits_v if edits else None, PROJECT
-    )
-    return markup.assemble(fragments)[0]
+    return markup.assemble(fragments(t, edits))[0]
+
+
+def viewer_pages(t) -> DataFrame:
+    """Pages of the edition from its fragments."""
+    found = fragments(t)
+    return reading.pages_of_fragments(found.filter(F.col("section") == markup.PAGE), markup.skeletons(found))
+
+
+def headers(t, edits: bool = False) -> DataFrame:
+    return markup.skeletons(fragments(t, edits))
 
 
 # SQL building blocks ----------------------------------------------------------------
@@ -159,7 +170,7 @@ METADATA = """
 
 @query("job12_markup_metadata", "SELECT * FROM metadata", {"metadata": METADATA})
 def _(t):
-    return reading.metadata(documents(t)).select(
+    return reading.metadata(headers(t)).select(
         "object_id", "title", "date", "language", "status", "signature", "validation_state_hash", "input_state_timestamp"
     )
 
@@ -176,7 +187,7 @@ VIEWER_TEXT = r"""
     {"pages_with_images": PAGES_WITH_IMAGES, "viewer": VIEWER_TEXT},
 )
 def _(t):
-    return reading.pages(documents(t)).select("object_id", "page", "label", "image")
+    return viewer_pages(t).select("object_id", "page", "label", "image")
 
 
 @query(
@@ -240,8 +251,7 @@ CATALOG_BLOCKS = {"pages_with_images": PAGES_WITH_IMAGES, "viewer": VIEWER_TEXT,
 
 
 def catalog_rows(t) -> DataFrame:
-    docs = documents(t)
-    return catalog.catalog(reading.metadata(docs), reading.pages(docs))
+    return catalog.catalog(reading.metadata(headers(t)), viewer_pages(t))
 
 
 @query("job18_catalog", "SELECT * FROM catalog", CATALOG_BLOCKS)
@@ -265,7 +275,7 @@ def _(t):
 
 @query("agg18_newest_input_state", "SELECT coalesce(max(input_state_timestamp), '') AS input_state_timestamp FROM metadata", {"metadata": METADATA})
 def _(t):
-    return catalog.input_state_timestamp(reading.metadata(documents(t)))
+    return catalog.input_state_timestamp(reading.metadata(headers(t)))
 
 
 @query(
@@ -285,7 +295,7 @@ def _(t):
        FROM edits_v""",
 )
 def _(t):
-    return reading.changes(documents(t, edits=True)).filter("type = 'transcription-correction'").drop("position")
+    return reading.changes(headers(t, edits=True)).filter("type = 'transcription-correction'").drop("position")
 
 
 @query(
@@ -294,7 +304,7 @@ def _(t):
        UNION ALL SELECT object_id, '', 1 FROM objects_v""",
 )
 def _(t):
-    return reading.changes(documents(t, edits=True)).groupBy("object_id", "actor").agg(F.count(F.lit(1)).alias("changes"))
+    return reading.changes(headers(t, edits=True)).groupBy("object_id", "actor").agg(F.count(F.lit(1)).alias("changes"))
 
 
 @query(
@@ -338,7 +348,7 @@ def _(t):
     reports = t.objects_v.filter(F.length("object_id") % 2 == 1).select(
         "object_id", F.when(number % 3 == 0, "000000000000").otherwise(hashing.text_hash(F.col("object_id"))).alias("expected_hash")
     )
-    return catalog.derivation_check(reading.metadata(documents(t)), reports).select("object_id", "stage")
+    return catalog.derivation_check(reading.metadata(headers(t)), reports).select("object_id", "stage")
 
 
 BINDINGS = """
@@ -383,7 +393,7 @@ def _(t):
         "object_id", (number % 6 != 2).alias("conformant"), (number % 4 == 0).alias("all_accepted")
     )
     return catalog.publication_blockers(
-        reading.metadata(docs), reading.conformance(docs), acceptance, bindings_of(t)
+        reading.metadata(headers(t)), reading.conformance(docs), acceptance, bindings_of(t)
     ).select("object_id", "code")
 
 
