@@ -27,7 +27,7 @@ def read_transcriptions(spark: SparkSession, path: str) -> tuple[DataFrame, Data
     readable = documents.filter(F.col("readable") & stem.eqNullSafe(F.col("object_id")))
     errors = documents.filter(~F.col("readable") | ~stem.eqNullSafe(F.col("object_id"))).select(
         "object_id",
-        F.when(F.col("readable"), "object_id does not match the file name").otherwise("unreadable JSON document").alias("error"),
+        F.when(F.col("readable"), "name_mismatch").when(F.col("too_large"), "too_large").otherwise("unreadable").alias("error"),
         F.when(F.col("readable"), "contract").otherwise("read").alias("stage"),
     )
     return readable, errors

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from scriptorium.operators import contract
 from scriptorium.plans import audit, catalog, evaluation, markup, reading, review
 from scriptorium.sinks import writers
 from scriptorium.sources import files, manifests, transcriptions
@@ -201,3 +202,13 @@ def test_transition_batch(spark):
     accepted, rejected = review.apply_transitions(df)
     assert rows_of(accepted, "page") == [(1,)]
     assert rows_of(rejected, "page", "reason") == [(2, "not_allowed"), (3, "agent_decision"), (4, "no_actor"), (5, "unknown_page")]
+
+
+def test_a_document_beyond_the_parser_is_too_large_and_not_broken(spark):
+    files = spark.createDataFrame([("a", "{" + "x" * 50), ("b", "{x"), ("c", '{"object_id":"c"}')], "object_id string, value string")
+    documents = contract.parse_documents(files, large=40)
+    assert {r["object_id"]: (r["readable"], r["too_large"]) for r in documents.collect()} == {
+        "a": (False, True), "b": (False, False), "c": (True, False),
+    }
+    codes = {r["object_id"]: r["code"] for r in contract.audit_documents(documents).filter("code LIKE 'file.%' AND object_id <> 'c'").collect()}
+    assert codes == {"a": "file.too_large", "b": "file.shape"}
