@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Lines of fewer words always stay: so little text repeats by chance.
 LEAST_WORDS = 5
 SCHEMA = "doc_id long, text_hash long, unit int, start long, end long, digest binary"
@@ -54,7 +56,9 @@ def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     found = units(docs, least_words)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "unit")
     first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
-    repeated = found.join(first.select("digest", "first"), "digest").where(rank != F.col("first"))
+    # a table, so that both sides of the join are shuffled on their own and a line that very many documents share can be split
+    first = written(first.select("digest", "first"), "repeated-lines")
+    repeated = found.join(first, "digest").where(rank != F.col("first"))
     return repeated.select("doc_id", "text_hash", "unit", "start", "end", F.col("first.doc_id").alias("kept_doc_id"))
 
 
