@@ -144,6 +144,12 @@ def pages(documents: DataFrame) -> DataFrame:
     )
 
 
+def page_pointers(fragments: DataFrame) -> DataFrame:
+    """(object_id, image) per page of page fragments, the image as the page break points at it: all that a catalogue counts."""
+    bodies = fragments.select("object_id", without_prefixes(F.col("fragment")).alias("_body"))
+    return _split_at_breaks(bodies, "object_id").select("object_id", F.col("_pointer").alias("image"))
+
+
 def pages_of_fragments(fragments: DataFrame, skeletons: DataFrame) -> DataFrame:
     """The same pages from page fragments (object_id, ordinal, fragment) and skeletons, for objects of any size."""
     numbers = numbered(fragments.select("object_id", "ordinal"), ["object_id"], ["ordinal"], "page")

@@ -251,7 +251,8 @@ CATALOG_BLOCKS = {"pages_with_images": PAGES_WITH_IMAGES, "viewer": VIEWER_TEXT,
 
 
 def catalog_rows(t) -> DataFrame:
-    return catalog.catalog(reading.metadata(headers(t)), viewer_pages(t))
+    pages = markup.page_fragments(url_pages(t)).drop("page")
+    return catalog.catalog(reading.metadata(headers(t)), reading.page_pointers(pages))
 
 
 @query("job18_catalog", "SELECT * FROM catalog", CATALOG_BLOCKS)
