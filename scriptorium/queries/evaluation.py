@@ -159,10 +159,12 @@ def _(t):
          FROM pages_v GROUP BY object_id) WHERE body IS NOT NULL""",
 )
 def _(t):
-    wanted = t.pages_v.groupBy("object_id").agg(F.collect_list(F.struct("page", "transcription")).alias("pages"))
+    scope = [2, 7, 1]
+    each = t.pages_v.filter(F.col("page").isin(scope)).groupBy("object_id", "page").agg(F.max("transcription").alias("transcription"))
+    wanted = each.groupBy("object_id").agg(F.collect_list(F.struct("page", "transcription")).alias("pages"))
     content = F.to_json(F.struct("pages"))
     return wanted.filter("exists(pages, p -> p.page = 2)").select(
-        "object_id", evaluation.scoped_pages(content, F.array(F.lit(2), F.lit(7), F.lit(1))).alias("body")
+        "object_id", evaluation.scoped_pages(content, F.array(*map(F.lit, scope))).alias("body")
     )
 
 
