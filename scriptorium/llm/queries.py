@@ -195,3 +195,82 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_tree import scored
 
     return scored(table(spark, sf_dir, "documents"))
+
+
+def kmeans_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds of op12 written one after another."""
+    def assigned(n: int) -> str:
+        return f"""a{n} AS MATERIALIZED (
+  SELECT r, min(CAST(list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, c.v) + list_inner_product(c.v, c.v) AS BIGINT) * {k} + c.c) AS m
+  FROM p, c{n} c GROUP BY r
+)"""
+
+    def moved(n: int) -> str:
+        return f"""s{n} AS (
+  SELECT m % {k} AS c, i, CAST(sum(CAST(x AS BIGINT)) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT m, unnest(v) AS x, unnest(range(64)) AS i FROM a{n - 1} JOIN p USING (r)) GROUP BY ALL
+), c{n} AS MATERIALIZED (
+  SELECT o.c, coalesce(f.v, o.v) AS v
+  FROM c{n - 1} o LEFT JOIN (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY i) AS v FROM s{n} GROUP BY c) f ON o.c = f.c
+)"""
+
+    steps = [step for n in range(1, rounds + 1) for step in (assigned(n - 1), moved(n))]
+    return f"""
+WITH p AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, v FROM p ORDER BY h LIMIT {k})
+), {", ".join(steps)}, {assigned(rounds)}, d AS (
+  SELECT vec_id, m % {k} AS c, m // {k} AS distance FROM a{rounds} JOIN p USING (r)
+), t AS (
+  SELECT c, sum(distance) AS own FROM d GROUP BY c
+)
+SELECT vec_id, CAST(d.c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, CAST(own AS BIGINT) AS cluster_inertia,
+  CAST((SELECT sum(distance) FROM d) AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(f.v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM d JOIN t ON d.c = t.c JOIN c{rounds} f ON d.c = f.c
+"""
+
+
+@query("op12_simplex_centroids", kmeans_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import clustered, with_inertia
+    from .vectors import complete, whole
+
+    kept = table(spark, sf_dir, "embeddings").where(complete(F.col("embedding"), 64))
+    points = kept.select(F.col("vec_id").alias("id"), whole(F.col("embedding"), 1024).alias("x"))
+    found = with_inertia(*clustered(points, F.sha2(F.concat(F.lit("3:"), F.col("id").cast("string")), 256)))
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+OP13_SQL = r"""
+WITH e AS MATERIALIZED (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op13_segment_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import mined
+    from .vectors import complete, whole
+
+    kept = table(spark, sf_dir, "embeddings").where(F.col("label").isNotNull() & complete(F.col("embedding"), 64))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = kept.select("vec_id", label.alias("label"), whole(F.col("embedding"), 256).alias("x"))
+    return mined(rows, F.col("vec_id") % 100 == 0, 64)
