@@ -274,3 +274,11 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = kept.select("vec_id", label.alias("label"), whole(F.col("embedding"), 256).alias("x"))
     return mined(rows, F.col("vec_id") % 100 == 0, 64)
+
+
+@query("op11_interval_tree_repeats")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeat_intervals import without_repeats
+
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
