@@ -294,6 +294,19 @@ def skeletons(fragments: DataFrame) -> DataFrame:
     )
 
 
+def document_shapes(fragments: DataFrame) -> DataFrame:
+    """(object_id, framed, page_breaks, images, body_chars) from fragments, one pass and partial sums, whatever an object's size."""
+    place = F.struct("section", "ordinal")
+    count = lambda tag, section: F.coalesce(F.sum(F.when(F.col("section") == section, F.regexp_count("fragment", F.lit(tag)))), F.lit(0))
+    framed = F.min_by(F.col("fragment").startswith("<?xml"), place) & F.max_by(F.col("fragment").endswith("</TEI>\n"), place)
+    return fragments.groupBy("object_id").agg(
+        framed.alias("framed"),
+        count("<pb ", PAGE).cast("bigint").alias("page_breaks"),
+        count("<graphic ", IMAGE).cast("bigint").alias("images"),
+        F.coalesce(F.sum(F.when(F.col("section") == PAGE, F.length("fragment"))), F.lit(0)).cast("bigint").alias("body_chars"),
+    )
+
+
 def assemble(fragments: DataFrame, max_chars: int = MAX_DOCUMENT_CHARS) -> tuple[DataFrame, DataFrame]:
     """(documents, oversized fragments).
 

@@ -222,29 +222,6 @@ def changes(documents: DataFrame) -> DataFrame:
     return listed.join(actors, ["object_id", "who"], "left").withColumn("actor", F.coalesce("actor", F.lit(""))).drop("who")
 
 
-def conformance(documents: DataFrame) -> DataFrame:
-    """Well-formedness, header and required elements, with an error list."""
-    base = with_well_formed(documents).withColumn("_plain", without_prefixes(F.col("markup")))
-    required = ["TEI", "teiHeader", "fileDesc", "text", "body"]
-
-    def has(name: str) -> Column:
-        return F.col("_plain").rlike(rf"<{name}[\s>/]")
-
-    errors = F.array_compact(
-        F.array(
-            F.when(~F.col("well_formed"), "not well-formed"),
-            *[F.when(F.col("well_formed") & ~has(name), f"missing element {name}") for name in required],
-        )
-    )
-    return base.select(
-        "object_id",
-        "well_formed",
-        (F.col("well_formed") & has("teiHeader")).alias("has_header"),
-        F.when(F.size(errors) == 0, "valid").otherwise("invalid").alias("status"),
-        errors.alias("errors"),
-    )
-
-
 # ---------------------------------------------------------------------------
 # Comparison texts; nesting matters here, so the tree is walked in Arrow batches.
 

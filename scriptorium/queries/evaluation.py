@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..plans import evaluation, reading
-from .markup import documents
+from ..plans import evaluation, structure
+from .markup import fragments, html_fragments
 from .registry import query
 
 #: Letters beyond ASCII in the test tables. DuckDB measures distances in bytes, so its side compares texts in which each of
@@ -117,8 +117,7 @@ def _(t):
        FROM (SELECT TRUE AS ok FROM objects_v UNION ALL SELECT FALSE FROM pages)""",
 )
 def _(t):
-    html = t.pages.select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("object_id"), F.col("html").alias("markup"))
-    records = evaluation.conformance_records(reading.conformance(documents(t).unionByName(html)))
+    records = evaluation.conformance_records(structure.conformance(fragments(t).unionByName(html_fragments(t))))
     return evaluation.aggregates(records).select("metric", "n_fixtures", "value")
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing, text
 from ..operators.ordered import ordered_concat
-from ..plans import catalog, markup, reading
+from ..plans import catalog, markup, reading, structure
 from .registry import query
 
 PROJECT = {"editor": "A & B", "publisher": "Haus <X>", "license": "CC BY 4.0", "language": "la", "title": "Edition"}
@@ -39,8 +39,10 @@ def fragments(t, edits: bool = False) -> DataFrame:
     return markup.document_fragments(header_objects(t), url_pages(t), t.edits_v if edits else None, PROJECT)
 
 
-def documents(t, edits: bool = False) -> DataFrame:
-    return markup.assemble(fragments(t, edits))[0]
+def html_fragments(t) -> DataFrame:
+    """The web pages as documents of one fragment."""
+    html = t.pages.select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("object_id"), F.col("html").alias("markup"))
+    return structure.as_fragments(html)
 
 
 def viewer_pages(t) -> DataFrame:
@@ -114,14 +116,7 @@ def _(t):
     FRAGMENT_BLOCKS,
 )
 def _(t):
-    body = F.regexp_extract("markup", r"(?s)<div>\n(.*)      </div>", 1)
-    return documents(t).select(
-        "object_id",
-        (F.col("markup").startswith("<?xml") & F.col("markup").endswith("</TEI>\n")).alias("framed"),
-        F.regexp_count("markup", F.lit("<pb ")).cast("bigint").alias("page_breaks"),
-        F.regexp_count("markup", F.lit("<graphic ")).cast("bigint").alias("images"),
-        F.length(body).cast("bigint").alias("body_chars"),
-    )
+    return markup.document_shapes(fragments(t))
 
 
 @query(
@@ -238,12 +233,65 @@ def _(t):
        UNION ALL SELECT 'page-' || CAST(page_id AS STRING), FALSE, FALSE, 'invalid', 1 FROM pages""",
 )
 def _(t):
-    html = t.pages.select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("object_id"), F.col("html").alias("markup"))
-    return reading.conformance(documents(t).unionByName(html)).select(
+    return structure.conformance(fragments(t).unionByName(html_fragments(t))).select(
         "object_id", "well_formed", "has_header", "status", F.size("errors").alias("error_count")
     )
 
 
+def misplaced_fragments(t) -> DataFrame:
+    """A document per row of ``documents``, one to seven pages in fragments of their own, with an element out of place by its id."""
+    kind, pages = F.col("doc_id") % 13, (F.col("doc_id") % 7 + 1).cast("int")
+    word = F.expr(_WORD)
+    header, head, tail = F.lit("<teiHeader><fileDesc/></teiHeader>"), F.lit("<text><body>"), F.lit("</body></text>")
+    front = (
+        F.when(kind.isin(1, 2, 9), F.concat(F.lit("<TEI>"), head))
+        .when(kind == 3, F.concat(F.lit("<TEI><teiHeader/>"), head, F.lit("<fileDesc/>")))
+        .when(kind == 4, F.concat(F.lit("<TEI>"), header, F.lit("<text/><div><body>")))
+        .when(kind == 11, F.concat(F.lit("<doc>"), header, head))
+        .otherwise(F.concat(F.lit("<TEI>"), header, head))
+    )
+    back = (
+        F.when(kind == 2, F.concat(header, tail, F.lit("</TEI>")))
+        .when(kind == 4, F.lit("</body></div></TEI>"))
+        .when(kind == 7, F.concat(tail, F.lit("</TEI><TEI/>")))
+        .when(kind == 8, F.concat(tail, F.lit("</TEI> text")))
+        .when(kind == 9, F.concat(tail, header, F.lit("</TEI>")))
+        .when(kind == 11, F.concat(tail, F.lit("</doc>")))
+        .otherwise(F.concat(tail, F.lit("</TEI>")))
+    )
+
+    def page(n: Column) -> Column:
+        opened = F.when(n == 1, F.when(kind == 5, "<p>").when(kind.isin(6, 10, 12), '<div><p rend="a>b">').otherwise("")).otherwise("")
+        closed = F.when(n == pages, F.when(kind == 6, "</div></p>").when(kind.isin(10, 12), "</p></div>").otherwise("")).otherwise("")
+        broken = F.when((kind == 12) & (n == pages), " & ").otherwise("")
+        return F.concat(opened, F.lit("<p>"), word, broken, F.lit("</p><pb/>"), closed)
+
+    row = lambda section, n, text: F.struct(
+        F.lit(section).alias("section"), n.cast("bigint").alias("ordinal"), text.alias("fragment")
+    )
+    pieces = F.concat(
+        F.array(row(0, F.lit(0), front)),
+        F.transform(F.sequence(F.lit(1), pages), lambda n: row(1, n, page(n))),
+        F.array(row(2, F.lit(0), back)),
+    )
+    return t.documents.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("object_id"), F.inline(pieces))
+
+
+@query(
+    "job17_misplaced_elements",
+    """SELECT 'doc-' || CAST(doc_id AS STRING) AS object_id, k NOT IN (5, 6, 7, 8, 12) AS well_formed, k NOT IN (1, 5, 6, 7, 8, 12) AS has_header,
+              CASE WHEN k IN (0, 10) THEN 'valid' ELSE 'invalid' END AS status,
+              CASE k WHEN 0 THEN '' WHEN 10 THEN '' WHEN 1 THEN 'missing element TEI/teiHeader; missing element TEI/teiHeader/fileDesc'
+                WHEN 2 THEN 'missing element TEI/teiHeader; missing element TEI/teiHeader/fileDesc' WHEN 3 THEN 'missing element TEI/teiHeader/fileDesc'
+                WHEN 4 THEN 'missing element TEI/text/body' WHEN 9 THEN 'header behind the text'
+                WHEN 11 THEN 'missing element TEI; missing element TEI/teiHeader; missing element TEI/teiHeader/fileDesc; missing element TEI/text; missing element TEI/text/body'
+                ELSE 'not well-formed' END AS errors
+       FROM (SELECT doc_id, doc_id % 13 AS k FROM documents)""",
+)
+def _(t):
+    return structure.conformance(misplaced_fragments(t), fan=3).withColumn("errors", F.array_join("errors", "; "))
+
+
 CATALOG = """
     SELECT m.object_id AS id, m.title, m.date, m.language, m.signature, m.status, p.page_count, p.has_images
     FROM metadata m JOIN (SELECT object_id, count(*) AS page_count, bool_or(image <> '') AS has_images FROM viewer GROUP BY object_id) p ON p.object_id = m.object_id"""
@@ -388,13 +436,12 @@ def _(t):
     {"bindings": BINDINGS},
 )
 def _(t):
-    docs = documents(t)
     number = F.substring("object_id", 6, 20).cast("int")
     acceptance = t.objects_v.filter(number % 11 != 3).select(
         "object_id", (number % 6 != 2).alias("conformant"), (number % 4 == 0).alias("all_accepted")
     )
     return catalog.publication_blockers(
-        reading.metadata(headers(t)), reading.conformance(docs), acceptance, bindings_of(t)
+        reading.metadata(headers(t)), structure.conformance(fragments(t)), acceptance, bindings_of(t)
     ).select("object_id", "code")
 
 
@@ -467,8 +514,7 @@ def _(t):
     """SELECT object_id, TRUE AS well_formed FROM objects_v UNION ALL SELECT 'page-' || CAST(page_id AS STRING), FALSE FROM pages""",
 )
 def _(t):
-    html = t.pages.select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("object_id"), F.col("html").alias("markup"))
-    return reading.with_well_formed(documents(t).unionByName(html)).select("object_id", "well_formed")
+    return structure.well_formed(fragments(t).unionByName(html_fragments(t)))
 
 
 # Markup made elsewhere: references, CDATA sections and tags with quoted angle brackets.

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.operators import contract
-from scriptorium.plans import audit, catalog, evaluation, markup, reading, review
+from scriptorium.plans import audit, catalog, evaluation, markup, reading, review, structure
 from scriptorium.sinks import writers
 from scriptorium.sources import files, manifests, transcriptions
 
@@ -127,7 +127,7 @@ def test_catalog_document_and_oversized_fragments(spark):
     text = documents.first()["markup"]
     assert '<p><unclear>a</unclear> &lt;b&gt;</p>' in text and '<note type="foreign">c</note>' in text
     assert '<pb n="1" xml:id="review-page-1"/>' in text and large.count() == 0
-    assert reading.conformance(documents).first()["status"] == "valid"
+    assert structure.conformance(fragments).first()["status"] == "valid" == structure.conformance(structure.as_fragments(documents)).first()["status"]
     changes = reading.changes(documents).filter("type = 'transcription-correction'").first()
     assert (changes["actor"], changes["text"], changes["target"]) == ("P & Q", "Grund", "#review-page-1")
     none, all_fragments = markup.assemble(fragments, max_chars=10)
