@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """``written`` for tables that are only needed on the way: they are removed at the end, but for those written with ``keep=True``."""
+    made: list[str] = []
+
+    def table(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if not keep:
+            made.append(path)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield table
+    finally:
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pieces(texts: list, size: int = PIECE_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` that hold about ``size`` characters each (one text at least)."""
     start, held = 0, 0
