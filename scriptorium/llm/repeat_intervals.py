@@ -9,8 +9,9 @@ Strings of ``length`` bytes that start at two places are found without sorting e
    array. A stack scan yields its intervals of a common prefix. Within an interval the texts before the anchors, read
    backwards, form such intervals too; a group of theirs whose members go on differently to the right (it spans several child
    intervals) and to the left is a maximal repeat, and its members are all its occurrences.
-3. A hash with more than LARGEST_GROUP anchors is split by the windows themselves: their digests are grouped over the whole
-   cluster, counts combine before the shuffle, and a window with many occurrences is one interval of equal strings.
+3. A hash with more than LARGEST_GROUP anchors is split by its strings: blocks of BLOCK neighbouring windows, and then the windows of
+   blocks that stand alone, are grouped by digest over the whole cluster. Counts combine before the shuffle, and a string with many
+   occurrences is one interval of equal suffixes.
 
 Groups, lists and texts in one task are bounded by LARGEST_GROUP pieces or by one text.
 """
@@ -32,6 +33,8 @@ LENGTH = 400
 ANCHOR = 8 / 25
 #: Anchors of one hash that are sorted together; more are split.
 LARGEST_GROUP = 1_000
+#: Windows of a block that larger groups compare at once.
+BLOCK = 16
 #: Bytes of the rows that a task holds back before it hands them on.
 OUTPUT_BYTES = 8_000_000
 
@@ -172,10 +175,13 @@ def _texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-_ANCHORS = pa.schema([("digest", pa.binary()), ("h", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32())])
+_AT = pa.list_(pa.struct([("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32())]))
+_ANCHORS = pa.schema([("digest", pa.binary()), ("h", pa.int64()), ("at", _AT)])
+_ANCHORS_DDL = "digest binary, h long, at array<struct<place:int,low:int,high:int>>"
 
 
 def _anchor_rows(length: int):
+    """A row per text and anchor hash, with all places of the hash in the text: a text that repeats itself has few rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen, keys, parts, held = set(), [], [], 0
@@ -183,9 +189,8 @@ def _anchor_rows(length: int):
                 if key in seen or len(text) < length:
                     continue
                 seen.add(key)
-                found = anchors_of(text, length)
-                keys += [key] * len(found[0])
-                parts.append(found)
+                keys.append(key)
+                parts.append(anchors_of(text, length))
                 held += len(text)
                 if held > PIECE_CHARS:
                     yield _anchor_batch(keys, parts)
@@ -197,8 +202,14 @@ def _anchor_rows(length: int):
 
 
 def _anchor_batch(keys: list[bytes], parts: list) -> pa.RecordBatch:
-    columns = [np.concatenate(x) for x in zip(*parts)]
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *[pa.array(c, f.type) for c, f in zip(columns, list(_ANCHORS)[1:])]], schema=_ANCHORS)
+    text = np.repeat(np.arange(len(keys)), [len(p[0]) for p in parts])
+    h, place, low, high = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((place, h, text))
+    text, h = text[order], h[order]
+    first = run_starts((text[1:] != text[:-1]) | (h[1:] != h[:-1]))
+    fields = [pa.array(x[order], pa.int32()) for x in (place, low, high)]
+    at = pa.ListArray.from_arrays(pa.array(np.append(first, len(h)), pa.int32()), pa.StructArray.from_arrays(fields, ["place", "low", "high"]))
+    return pa.RecordBatch.from_arrays([pa.array([keys[i] for i in text[first]], pa.binary()), pa.array(h[first]), at.cast(_AT)], schema=_ANCHORS)
 
 
 class _Rows:
@@ -220,28 +231,62 @@ class _Rows:
 
 
 _PIECES = pa.schema([("h", pa.int64()), ("digest", pa.binary()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("piece", pa.binary())])
+_BLOCKS = pa.schema([("block", pa.binary()), ("core", pa.binary()), ("digest", pa.binary()), ("starts", pa.list_(pa.int32())), ("n", pa.int32()), ("content", pa.binary())])
 _WINDOWS = pa.schema([("window", pa.binary()), ("digest", pa.binary()), ("start", pa.int32())])
 _RANGES = pa.schema([("digest", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])
 
 
-def _cut(length: int, hot: bool):
-    """Pieces around the anchors of small groups, or the digests of the windows of large ones."""
+def _cut(length: int):
+    """Pieces around the anchors of groups of bounded size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Rows(_WINDOWS if hot else _PIECES)
+        out = _Rows(_PIECES)
         for batch in batches:
             for key, text, anchors in zip(batch.column("digest").to_pylist(), _texts(batch.column("text")), batch.column("anchors")):
                 for a in anchors.as_py():
-                    if a["hot"] != hot:
-                        continue
-                    place, low, high = a["place"], a["low"], a["high"]
-                    if not hot:
+                    for at in () if a["hot"] else a["at"]:
+                        place, low, high = at["place"], at["low"], at["high"]
                         piece = text[place - high : place - low + length]
                         if out.add(len(piece) + 40, a["h"], key, place, low, high, piece):
                             yield out.batch()
-                    else:
-                        for start in range(place - high, place - low + 1):
-                            if out.add(48, hashlib.md5(text[start : start + length]).digest(), key, start):
-                                yield out.batch()
+        yield out.batch()
+
+    return run
+
+
+def _blocks(length: int, size: int):
+    """Blocks of up to ``size`` neighbouring windows of larger groups, cut at multiples of ``size`` before the anchor, so that copies are cut alike.
+
+    The core of a block is what all its windows share; a window can only repeat where its core does.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Rows(_BLOCKS)
+        for batch in batches:
+            for key, text, anchors in zip(batch.column("digest").to_pylist(), _texts(batch.column("text")), batch.column("anchors")):
+                found: dict[bytes, list] = {}
+                for at in (at for a in anchors.as_py() if a["hot"] for at in a["at"]):
+                    for base in range(at["low"] // size * size, at["high"] + 1, size):
+                        low, high = max(at["low"], base), min(at["high"], base + size - 1)
+                        start, n = at["place"] - high, high - low + 1
+                        content = text[start : start + n - 1 + length]
+                        core = text[at["place"] - base : at["place"] - base - size + 1 + length]
+                        found.setdefault(hashlib.md5(content).digest(), [[], n, content, core])[0].append(start)
+                for block, (starts, n, content, core) in found.items():
+                    if out.add(len(content) + 4 * len(starts) + 80, block, hashlib.md5(core).digest(), key, starts, n, content):
+                        yield out.batch()
+        yield out.batch()
+
+    return run
+
+
+def _windows(length: int):
+    """The single windows of blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Rows(_WINDOWS)
+        for batch in batches:
+            for key, start, n, content in zip(*(batch.column(c).to_pylist() for c in ("digest", "start", "n", "content"))):
+                for i in range(n):
+                    if out.add(48, hashlib.md5(content[i : i + length]).digest(), key, start + i):
+                        yield out.batch()
         yield out.batch()
 
     return run
@@ -310,25 +355,41 @@ class Candidates:
     def __init__(self, docs: DataFrame, length: int, largest: int) -> None:
         self.length = length
         keyed = docs.select(digest(F.coalesce("text", F.lit(""))).alias("digest"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-        anchors = written(keyed.where(F.length("text") >= length).mapInArrow(_anchor_rows(length), "digest binary, h long, place int, low int, high int"), "anchors")
-        again = anchors.groupBy("h").count().where("count > 1").select("h")
-        met = written(anchors.join(again, "h").distinct(), "met")
-        sizes = met.groupBy("h").count().where("count > 1").select("h", (F.col("count") > largest).alias("hot"))
-        lists = met.join(sizes, "h").groupBy("digest").agg(F.collect_list(F.struct("h", "place", "low", "high", "hot")).alias("anchors"))
+        anchors = written(keyed.where(F.length("text") >= length).mapInArrow(_anchor_rows(length), _ANCHORS_DDL), "anchors")
+        counted = lambda rows: rows.groupBy("h").agg(F.sum(F.size("at")).alias("n")).where("n > 1")
+        met = written(anchors.join(counted(anchors).select("h"), "h").dropDuplicates(["digest", "h"]), "met")
+        sizes = counted(met).select("h", (F.col("n") > largest).alias("hot"))
+        lists = met.join(sizes, "h").groupBy("digest").agg(F.collect_list(F.struct("h", "at", "hot")).alias("anchors"))
         once = keyed.groupBy("digest").agg(F.first("text").alias("text"))
         self.texts = written(once.join(lists, "digest"), "texts")
 
     def grouped(self, answer) -> DataFrame:
         """``answer`` over the groups of bounded size."""
         ddl = "h long, digest binary, place int, low int, high int, piece binary"
-        pieces = self.texts.where(F.exists("anchors", lambda a: ~a["hot"])).mapInArrow(_cut(self.length, False), ddl)
+        pieces = self.texts.where(F.exists("anchors", lambda a: ~a["hot"])).mapInArrow(_cut(self.length), ddl)
         return pieces.repartition("h").sortWithinPartitions("h").mapInArrow(_by_hash(self.length, answer), answer.ddl)
 
-    def split(self) -> DataFrame:
-        """(window, digest, start): the repeated windows of larger groups."""
-        windows = self.texts.where(F.exists("anchors", lambda a: a["hot"])).mapInArrow(_cut(self.length, True), "window binary, digest binary, start int")
-        windows = written(windows, "windows")
-        return windows.join(windows.groupBy("window").count().where("count > 1").select("window"), "window")
+    def split(self, size: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+        """(block, digest, starts, n) and (window, digest, start): what repeats in larger groups, whole blocks and then windows of the other blocks.
+
+        With blocks of one window the second table is empty.
+        """
+        ddl = "block binary, core binary, digest binary, starts array<int>, n int, content binary"
+        blocks = written(self.texts.where(F.exists("anchors", lambda a: a["hot"])).mapInArrow(_blocks(self.length, size), ddl), "blocks")
+        counted = lambda key: blocks.groupBy(key).agg(F.sum(F.size("starts")).alias("times")).where("times > 1").select(key)
+        twice = written(counted("block"), "twice")
+        whole = blocks.join(twice, "block").select("block", "digest", "starts", "n")
+        alone = blocks.join(twice, "block", "left_anti").join(counted("core"), "core", "left_semi")
+        alone = alone.select("core", "digest", F.col("starts")[0].alias("start"), "n", "content")
+        alone = written(alone if size > 1 else alone.limit(0), "alone")
+        # one occurrence of each repeated block stands for all, so that windows of others find it
+        shown = blocks.join(twice, "block").groupBy("block").agg(*[F.first(c).alias(c) for c in ("core", "n", "content")])
+        shown = shown.join(alone.select("core").distinct(), "core", "left_semi")
+        shown = shown.select(F.lit(None).cast("binary").alias("digest"), F.lit(0).alias("start"), "n", "content")
+        windows = alone.select("digest", "start", "n", "content").unionByName(shown)
+        windows = written(windows.mapInArrow(_windows(self.length), "window binary, digest binary, start int"), "windows")
+        again = windows.groupBy("window").count().where("count > 1").select("window")
+        return whole, windows.where("digest IS NOT NULL").join(again, "window")
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, largest: int = LARGEST_GROUP) -> DataFrame:
@@ -339,8 +400,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, largest: int = LARGEST_GROUP)
     Copies of a whole text count once. Null texts are empty; an empty table gives an empty result.
     """
     found = Candidates(docs, length, largest)
-    split = found.split().select(F.col("window").alias("group"), "digest", "start", (F.col("start") + length).alias("end"))
-    return found.grouped(Groups()).unionByName(split).distinct()
+    whole, _ = found.split(1)
+    split = whole.select(F.col("block").alias("group"), "digest", F.explode("starts").alias("start"))
+    return found.grouped(Groups()).unionByName(split.withColumn("end", F.col("start") + length)).distinct()
 
 
 def _kept(length: int):
@@ -377,8 +439,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, largest: int = LARGES
     any length is one row. Other columns are ignored; an empty table gives an empty result.
     """
     found = Candidates(docs, length, largest)
-    split = found.split().select("digest", F.col("start").alias("first"), F.col("start").alias("last"))
-    ranges = found.grouped(Ranges()).unionByName(split).groupBy("digest").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
+    whole, windows = found.split()
+    span = lambda start, n: F.struct(start.alias("first"), (start + n - 1).alias("last"))
+    ranges = (
+        found.grouped(Ranges()).select("digest", F.array(F.struct("first", "last")).alias("own"))
+        .unionByName(whole.select("digest", F.transform("starts", lambda s: span(s, F.col("n"))).alias("own")))
+        .unionByName(windows.select("digest", F.array(span(F.col("start"), F.lit(1))).alias("own")))
+        .groupBy("digest").agg(F.flatten(F.collect_list("own")).alias("ranges"))
+    )
     ddl = "digest binary, n_removed long, spans array<array<long>>, kept binary"
     changed = found.texts.select("digest", "text").join(ranges, "digest").mapInArrow(_kept(length), ddl)
     changed = written(changed.withColumn("kept_sha256", F.sha2("kept", 256)), "changed")
