@@ -24,7 +24,8 @@ class Prior:
     """A column computed from the earlier rows of the same key.
 
     kind: ``lag`` value of the previous row, ``last`` last non-null value of the
-    earlier rows, ``count`` number of earlier rows.
+    earlier rows, ``count`` number of earlier rows, ``sum`` sum of the value over
+    the earlier rows (0 for the first).
     """
 
     name: str
@@ -67,6 +68,10 @@ def with_prior(df: DataFrame, keys: list[str], order: list[str], *priors: Prior)
             known = F.when(prior.value.isNotNull(), position)
             summary.append(F.max_by(prior.value, known).alias(column))
             carried.append(F.last(column, ignorenulls=True).over(earlier).alias(column))
+        elif prior.kind == "sum":
+            local.append(F.coalesce(F.sum(prior.value).over(before), F.lit(0)).cast("bigint").alias(prior.name))
+            summary.append(F.coalesce(F.sum(prior.value), F.lit(0)).cast("bigint").alias(column))
+            carried.append(F.sum(column).over(earlier).alias(column))
         elif prior.kind == "count":
             local.append((F.row_number().over(inside) - 1).cast("bigint").alias(prior.name))
             summary.append(F.count(F.lit(1)).alias(column))
@@ -86,7 +91,7 @@ def with_prior(df: DataFrame, keys: list[str], order: list[str], *priors: Prior)
     out = rows.select("*", *local).join(F.broadcast(carry), [SEGMENT, *keys], "left")
     for prior in priors:
         column = f"_carry_{prior.name}"
-        if prior.kind == "count":
+        if prior.kind in ("count", "sum"):
             merged = F.col(prior.name) + F.coalesce(F.col(column), F.lit(0))
         else:
             merged = F.coalesce(F.col(prior.name), F.col(column))
@@ -107,26 +112,32 @@ def in_order(df: DataFrame, order: list[str], name: str = "position") -> DataFra
     return numbered(df.withColumn("_whole", F.lit(0)), ["_whole"], order, name).drop("_whole")
 
 
+#: Bytes of a part of joined texts, about; a longer text is a part of its own.
+PART_BYTES = 1 << 20
+
+
 def ordered_concat(
     df: DataFrame,
     keys: list[str],
     ordinal: str,
     text: str,
     separator: str,
-    rows_per_part: int = 512,
+    part_bytes: int = PART_BYTES,
     out: str = "text",
 ) -> DataFrame:
-    """Join texts in order, as numbered parts of a bounded number of rows.
+    """Join texts in order, as numbered parts of a bounded number of bytes: (keys, part, rows, out).
 
-    Up to ``rows_per_part`` consecutive ordinals form one part, so a small
-    object is one row and an object of any size is the ordered sequence of its
-    parts; joining the parts with the same separator gives the whole text.
-    Ordinals start at 1 and are unique within a key.
+    The bytes in front of a text within its key, separators included, divided by ``part_bytes`` give its part, so every object
+    is the ordered sequence of its parts, whatever its size; part numbers ascend and may skip some after a long text.
+    Joining the parts with the same separator gives the whole text. ``ordinal`` is unique within a key. Null texts
+    count as rows and add nothing.
     """
-    part = F.floor((F.col(ordinal) - 1) / rows_per_part).cast("bigint")
+    size = F.coalesce(F.octet_length(text), F.lit(0)) + len(separator.encode())
+    placed = with_prior(df.select(*keys, ordinal, text), keys, [ordinal], Prior("_bytes", "sum", size))
+    part = F.floor(F.col("_bytes") / part_bytes).cast("bigint")
     piece = F.struct(F.col(ordinal).alias("o"), F.col(text).alias("t"))
     return (
-        df.groupBy(*keys, part.alias("part"))
+        placed.groupBy(*keys, part.alias("part"))
         .agg(
             F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["t"]), separator).alias(out),
             F.count(F.lit(1)).alias("rows"),

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import hashing
 from ..operators import calls, contract, fingerprints, quality, reviews, violations
 from ..operators.contract import Node
-from ..session import checkpointed
 
 
 def recorded_calls(documents: DataFrame) -> DataFrame:
@@ -104,8 +103,7 @@ def audit(files: DataFrame) -> DataFrame:
     ``files`` carries (object_id, value): file stem and JSON text.
     """
     # Parsed once; nine rule families read the result.
-    documents = checkpointed(contract.parse_documents(files))
-    pages = contract.document_pages(documents)
+    documents, pages = contract.parsed(files)
     typed = fingerprints.with_page_state(contract.typed_pages(pages))
     log = contract.raw_review_events(pages)
     edits = contract.raw_edit_events(pages)
@@ -116,7 +114,7 @@ def audit(files: DataFrame) -> DataFrame:
     state = reviews.audit_review_state(typed.filter("review_status IS NOT NULL"), log).filter(
         ~F.col("code").isin("review_status_unknown", "review_without_history")
     )
-    found = contract.audit_documents(documents)
+    found = contract.audit_documents(documents, pages)
     for part in (
         per_object.withColumn("page", F.lit(None).cast("int")),
         missing_raw_text(documents, pages),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators.ordered import ordered_concat
+from ..operators.ordered import PART_BYTES, ordered_concat
 from ..operators.violations import Check, violations
 
 CATALOG_COLUMNS = ["id", "title", "date", "language", "signature", "status", "page_count", "has_images"]
@@ -45,11 +45,11 @@ def sort_catalog(catalog_rows: DataFrame, column: str, ascending: bool = True) -
     return catalog_rows.orderBy(key.asc() if ascending else key.desc(), "id")
 
 
-def plain_text_export(pages: DataFrame) -> DataFrame:
-    """Plain text with page headings, in numbered parts per object."""
+def plain_text_export(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Plain text with page headings, in numbered parts of bounded bytes per object."""
     label = F.coalesce(text.non_empty(F.col("label")), F.col("page").cast("string"))
     block = F.concat(F.lit("--- Seite "), label, F.lit(" ---\n"), F.coalesce("text", F.lit("")))
-    return ordered_concat(pages.withColumn("_block", block), ["object_id"], "page", "_block", "\n\n")
+    return ordered_concat(pages.withColumn("_block", block), ["object_id"], "page", "_block", "\n\n", part_bytes)
 
 
 def derivation_check(metadata: DataFrame, reports: DataFrame) -> DataFrame:

@@ -64,8 +64,8 @@ def stale_signals(recorded: DataFrame, pages: DataFrame) -> DataFrame:
     return joined.filter(differs).select("object_id")
 
 
-def validated_violations(documents: DataFrame) -> DataFrame:
-    """Rules of validated documents beyond the contract: object_id, code."""
+def validated_violations(documents: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Rules of validated documents beyond the contract: object_id, code. ``pages``: raw pages, where documents come without theirs."""
     base = checkpointed(documents).filter("readable")
     doc = Node(F.col("doc"))
     meta, validation = doc["_meta"], doc["validation"]
@@ -87,7 +87,7 @@ def validated_violations(documents: DataFrame) -> DataFrame:
         ],
         "object_id",
     )
-    pages = contract.typed_pages(contract.document_pages(base))
+    pages = contract.typed_pages(contract.document_pages(base) if pages is None else pages)
     stat = Node(F.col("stat"))
     recorded = base.select("object_id", F.explode(validation["per_page_stats"].items).alias("stat")).select(
         "object_id", *[stat[f].integer.cast("int").alias(f) for f in ("page", "char_count", "word_count", "line_count")]

@@ -167,23 +167,52 @@ def _(t):
 
 @query(
     "src01_transcription_corpus",
-    f"""SELECT 'doc-' || CAST(doc_id AS STRING) AS object_id, CAST(1 AS INT) AS page, text AS transcription, 'n' AS notes
-        FROM documents WHERE doc_id % {len(MUTATIONS)} NOT IN (8, 45) AND doc_id % {len(MUTATIONS)} NOT IN (1, 2, 44)""",
+    f"""SELECT 'doc-' || CAST(doc_id AS STRING) AS object_id, CAST(CASE k WHEN 1 THEN 2 WHEN 2 THEN NULL ELSE 1 END AS INT) AS page,
+               text AS transcription, CASE k WHEN 8 THEN '' ELSE 'n' END AS notes
+        FROM (SELECT *, doc_id % {len(MUTATIONS)} AS k FROM documents) WHERE k NOT IN (44, 45)""",
 )
 def _(t):
-    documents = contract.parse_documents(mutated(t))
-    pages = contract.typed_pages(contract.document_pages(documents))
-    return pages.filter("page = 1 AND notes = 'n'").select("object_id", "page", "transcription", "notes")
+    _, pages = contract.parsed(mutated(t))
+    return contract.typed_pages(pages).select("object_id", "page", "transcription", "notes")
+
+
+def volumes(t) -> DataFrame:
+    """JSON documents of ten neighbouring rows of ``documents`` a page each, with braces, brackets and the name of the list in their texts."""
+    page = F.struct(
+        (F.col("doc_id") % 10 + 1).cast("int").alias("page"),
+        F.concat("text", F.lit(' }]{["pages":[ \\"} ')).alias("transcription"),
+        F.array(F.struct(F.lit(1).alias("a"), F.array(F.struct(F.col("lang").alias("b"))).alias("c"))).alias("edits"),
+    )
+    grouped = t.documents.groupBy(F.floor(F.col("doc_id") / 10).alias("volume")).agg(F.array_sort(F.collect_list(page)).alias("pages"))
+    meta = F.struct(F.array(F.struct(F.lit(1).alias("pages"))).alias("pages"))
+    identifier = F.concat(F.lit("volume-"), F.col("volume").cast("string"))
+    return grouped.select(
+        identifier.alias("object_id"),
+        F.to_json(F.struct(identifier.alias("object_id"), meta.alias("_meta"), "pages", F.lit("}").alias("confidence_notes"))).alias("value"),
+    )
+
+
+@query(
+    "src01_pages_in_chunks",
+    """SELECT 'volume-' || CAST(doc_id // 10 AS STRING) AS object_id, CAST(row_number() OVER (PARTITION BY doc_id // 10 ORDER BY doc_id) - 1 AS INT) AS position,
+              CAST(doc_id % 10 + 1 AS INT) AS page, text || ' }]{["pages":[ \\"} ' AS transcription FROM documents""",
+)
+def _(t):
+    # every document by the way of large ones
+    _, pages = contract.parsed(volumes(t), large=0)
+    field = lambda name, kind: F.try_variant_get("raw", F.lit(f"$.{name}"), kind).alias(name)
+    return pages.select("object_id", "position", field("page", "int"), field("transcription", "string"))
 
 
 @query(
     "src04_page_count",
-    f"""SELECT 'doc-' || CAST(doc_id AS STRING) AS object_id, CAST(1 AS INT) AS pages FROM documents""",
+    f"""SELECT 'doc-' || CAST(doc_id AS STRING) AS object_id, CAST(1 AS INT) AS pages FROM documents
+        UNION ALL SELECT 'volume-' || CAST(doc_id // 10 AS STRING), CAST(count(*) AS INT) FROM documents GROUP BY ALL""",
 )
 def _(t):
     from ..sources.transcriptions import count_pages
 
-    return count_pages(mutated(t)).select("object_id", "pages")
+    return count_pages(mutated(t).select("object_id", "value").unionByName(volumes(t))).select("object_id", "pages")
 
 
 # The pages table -------------------------------------------------------------------

@@ -358,21 +358,25 @@ def _(t):
 
 @query(
     "snk09_plain_text_export",
-    """SELECT object_id, CAST(0 AS BIGINT) AS part, string_agg('--- Seite ' || CAST(page AS STRING) || ' ---' || chr(10) || transcription, chr(10) || chr(10) ORDER BY page) AS text
-       FROM pages_v GROUP BY object_id""",
+    """SELECT object_id, CAST(floor(before / 900) AS BIGINT) AS part, string_agg(block, chr(10) || chr(10) ORDER BY page) AS text
+       FROM (SELECT *, coalesce(sum(strlen(block) + 2) OVER (PARTITION BY object_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+             FROM (SELECT object_id, page, '--- Seite ' || CAST(page AS STRING) || ' ---' || chr(10) || transcription AS block FROM pages_v))
+       GROUP BY object_id, part""",
 )
 def _(t):
     rows = t.pages_v.select("object_id", "page", F.lit("").alias("label"), F.col("transcription").alias("text"))
-    return catalog.plain_text_export(rows).drop("rows")
+    return catalog.plain_text_export(rows, part_bytes=900).drop("rows")
 
 
 @query(
     "agg16_page_concatenation",
-    """SELECT object_id, CAST(0 AS BIGINT) AS part, count(*) AS rows, string_agg(transcription, chr(10) || chr(12) || chr(10) ORDER BY page) AS text
-       FROM pages_v GROUP BY object_id""",
+    """SELECT object_id, CAST(floor(before / 700) AS BIGINT) AS part, count(*) AS rows, string_agg(transcription, chr(10) || chr(12) || chr(10) ORDER BY page) AS text
+       FROM (SELECT *, coalesce(sum(strlen(transcription) + 3) OVER (PARTITION BY object_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+             FROM pages_v)
+       GROUP BY object_id, part""",
 )
 def _(t):
-    return ordered_concat(t.pages_v, ["object_id"], "page", "transcription", "\n\f\n")
+    return ordered_concat(t.pages_v, ["object_id"], "page", "transcription", "\n\f\n", part_bytes=700)
 
 
 @query(

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from scriptorium.operators import contract
+from scriptorium.operators import contract, json_parts
 from scriptorium.plans import audit, catalog, evaluation, markup, reading, review, structure
 from scriptorium.sinks import writers
 from scriptorium.sources import files, manifests, transcriptions
@@ -204,11 +204,78 @@ def test_transition_batch(spark):
     assert rows_of(rejected, "page", "reason") == [(2, "not_allowed"), (3, "agent_decision"), (4, "no_actor"), (5, "unknown_page")]
 
 
-def test_a_document_beyond_the_parser_is_too_large_and_not_broken(spark):
-    files = spark.createDataFrame([("a", "{" + "x" * 50), ("b", "{x"), ("c", '{"object_id":"c"}')], "object_id string, value string")
-    documents = contract.parse_documents(files, large=40)
-    assert {r["object_id"]: (r["readable"], r["too_large"]) for r in documents.collect()} == {
-        "a": (False, True), "b": (False, False), "c": (True, False),
-    }
-    codes = {r["object_id"]: r["code"] for r in contract.audit_documents(documents).filter("code LIKE 'file.%' AND object_id <> 'c'").collect()}
-    assert codes == {"a": "file.too_large", "b": "file.shape"}
+def test_documents_in_chunks_equal_whole_ones(spark):
+    """Every way of a large document on small ones: same documents, pages and broken rules."""
+    from scriptorium.queries.contract import corpus as built, mutated
+    from scriptorium.queries.registry import Tables
+
+    files = mutated(Tables(spark, "/root/testdata/sf0.001")).select("object_id", "value")
+    shown = ["object_id", F.to_json("raw").alias("raw"), "position", "recorded_type"]
+    whole, pages = contract.parsed(files)
+    found, elements = contract.parsed(files, large=0)
+    assert rows_of(found, "object_id", "readable") == rows_of(whole, "object_id", "readable")
+    assert sorted(map(str, elements.select(shown).collect())) == sorted(map(str, pages.select(shown).collect()))
+    expected = rows_of(contract.audit_documents(whole, pages).fillna(0), "object_id", "page", "code")
+    assert rows_of(contract.audit_documents(found, elements).fillna(0), "object_id", "page", "code") == expected
+    assert built is not None and len(expected) > 100
+
+
+JSON_TEXTS = [
+    {"object_id": "a", "m": {"pages": [1, {"x": 2}]}, "s": '"pages":[{ }', "pages": [{"page": 1, "t": 'x}y{\\"', "r": [{"a": {}}]}, {"page": 2}, 5, "s, ]}", [1, 2], {"p": 3}], "z": {"q": [{}]}},
+    {"pages": []}, {"pages": [1, 2]}, {"x": 1}, {"pages": 5}, {"pages": [{}]}, [], 5, {"a": {"pages": [{}]}}, {"pages": [{"a": "\\"}, {"b": "}"}], "c": "["},
+]
+
+
+def test_chunks_against_a_parser(spark):
+    texts = [json.dumps(d) for d in JSON_TEXTS] + [json.dumps(d, indent=1) for d in JSON_TEXTS]
+    texts += ['{"pages":[{"a":1} {"b":2}]}', '{"pages":[{"a":1},]}', '{"pages":[,{"a":1}]}', '{"pages":[{"a":1}', "", '{"a":{"b":1}', '{"pages":[{"a":1}]}}', '{"pages":[{"a":bad}]}', "}{", '{"a":"']
+    rows = [(f"o{i}", t) for i, t in enumerate(texts)] + [("none", None)]
+    documents, pages = json_parts.parse(json_parts.chunks_of_texts(spark.createDataFrame(rows, "object_id string, value string")))
+    found = {r["object_id"]: (r["readable"], r["n_pages"] if r["readable"] else None) for r in documents.collect()}
+    raw = {}
+    for r in pages.select("object_id", "position", F.to_json("raw").alias("raw")).orderBy("object_id", "position").collect():
+        raw.setdefault(r["object_id"], []).append(json.loads(r["raw"]))
+    for name, text in rows:
+        try:
+            value = json.loads(text or "")
+        except ValueError:
+            value = None
+        listed = value.get("pages") if isinstance(value, dict) else None
+        listed = listed if isinstance(listed, list) else None
+        assert found.get(name, (False, None)) == (isinstance(value, dict), None if listed is None else len(listed)), text
+        assert raw.get(name, []) == (listed or []), text
+
+
+def test_files_are_read_in_ranges(spark, tmp_path):
+    """Files far above the size of a read range, with pages that lie across its edges; one is cut off."""
+    values = {f"v{i}": {"object_id": f"v{i}", "pages": [{"page": n + 1, "transcription": f"}}{i} {n} " * (n % 40)} for n in range(300)]} for i in range(3)}
+    for name, value in values.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(value, indent=None if name == "v1" else 1))
+    (tmp_path / "cut.json").write_text(json.dumps({**values["v0"], "object_id": "cut"})[:-1])
+    (tmp_path / "small.json").write_text('{"object_id":"small","pages":[{"page":1,"transcription":"s"}]}')
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        documents, pages, errors = transcriptions.read_corpus(spark, str(tmp_path), large=1000)
+        typed = contract.typed_pages(pages).select("object_id", "page", "transcription")
+        got = {(r["object_id"], r["page"]): r["transcription"] for r in typed.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    expected = {(k, p["page"]): p["transcription"] for k, v in values.items() for p in v["pages"]}
+    assert got == expected | {("small", 1): "s"}
+    assert rows_of(documents, "object_id", "n_pages") == [("small", 1), ("v0", 300), ("v1", 300), ("v2", 300)]
+    assert rows_of(errors, "object_id", "error") == [("cut", "unreadable")]
+
+
+def test_a_document_beyond_the_variant_limit(spark, tmp_path):
+    """135 MB in one document: all its pages come out, and none is too large."""
+    text = "word " * 26_000
+    with (tmp_path / "huge.json").open("w") as out:
+        out.write('{"object_id":"huge","pages":[')
+        for n in range(1, 1041):
+            out.write(("," if n > 1 else "") + json.dumps({"page": n, "transcription": text}))
+        out.write("]}")
+    documents, pages, errors = transcriptions.read_corpus(spark, str(tmp_path))
+    totals = contract.typed_pages(pages).selectExpr("count(DISTINCT page) AS n", "sum(length(transcription)) AS chars").first()
+    assert (totals["n"], totals["chars"]) == (1040, 1040 * len(text))
+    assert rows_of(documents, "object_id", "n_pages") == [("huge", 1040)] and errors.count() == 0

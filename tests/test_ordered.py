@@ -28,20 +28,21 @@ def test_hot_key_spans_segments(spark, skewed):
 def test_prior_values_match_a_loop(spark, skewed):
     df = spark.createDataFrame(skewed, "k string, seq int, v string")
     out = with_prior(
-        df, ["k"], ["seq"], Prior("lagged", "lag", F.col("v")), Prior("known", "last", F.col("v")), Prior("n", "count")
+        df, ["k"], ["seq"], Prior("lagged", "lag", F.col("v")), Prior("known", "last", F.col("v")), Prior("n", "count"),
+        Prior("total", "sum", F.col("seq")),
     )
     state, expected = {}, {}
     for key, seq, value in sorted(skewed, key=lambda r: r[1]):
-        before, known, n = state.get(key, (None, None, 0))
-        expected[seq] = (before, known, n)
-        state[key] = (value, known if value is None else value, n + 1)
-    assert {r["seq"]: (r["lagged"], r["known"], r["n"]) for r in out.collect()} == expected
+        before, known, n, total = state.get(key, (None, None, 0, 0))
+        expected[seq] = (before, known, n, total)
+        state[key] = (value, known if value is None else value, n + 1, total + seq)
+    assert {r["seq"]: (r["lagged"], r["known"], r["n"], r["total"]) for r in out.collect()} == expected
 
 
 def test_numbered_and_concat(spark):
     df = spark.createDataFrame([("a", i, f"t{i}") for i in range(1, 12)], "k string, i int, t string")
     assert [r["n"] for r in numbered(df, ["k"], ["i"], "n").orderBy("i").collect()] == list(range(1, 12))
-    parts = ordered_concat(df, ["k"], "i", "t", "|", rows_per_part=4).orderBy("part").collect()
+    parts = ordered_concat(df, ["k"], "i", "t", "|", part_bytes=12).orderBy("part").collect()
     assert [p["rows"] for p in parts] == [4, 4, 3]
     assert "|".join(p["text"] for p in parts) == "|".join(f"t{i}" for i in range(1, 12))
 
