@@ -118,42 +118,47 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = r"""
 WITH d AS (
-  SELECT row_number() OVER (ORDER BY doc_id, text) AS r, doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+  SELECT row_number() OVER (ORDER BY doc_id, text) AS r, doc_id, text, regexp_extract_all(text, '[^.!?\n]*[.!?]+|[^.!?\n]+|\n+') AS pieces FROM documents
 ), u AS (
-  SELECT r, doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS unit FROM d
+  SELECT r, doc_id, unnest(pieces) AS piece, unnest(range(0, len(pieces))) AS i FROM d
 ), k AS (
-  SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+', ' ', 'g')) AS n,
-    sum(length(line) + 1) OVER (PARTITION BY r ORDER BY unit) - length(line) - 1 AS start
+  SELECT *, trim(regexp_replace(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+', ' ', 'g')) AS n,
+    sum(length(piece)) OVER (PARTITION BY r ORDER BY i) - length(piece) AS start
   FROM u
+), w AS (
+  SELECT *, len(string_split(n, ' ')) AS words, row_number() OVER (PARTITION BY r ORDER BY i) AS unit,
+    row_number() OVER (PARTITION BY n ORDER BY r, i) > 1 AS again, first_value(doc_id) OVER (PARTITION BY n ORDER BY r, i) AS kept_doc_id
+  FROM k WHERE n <> ''
 ), g AS (
-  SELECT *, CASE WHEN len(string_split(n, ' ')) >= 5 THEN row_number() OVER (PARTITION BY n ORDER BY r, unit) ELSE 1 END AS seen,
-    first_value(doc_id) OVER (PARTITION BY n ORDER BY r, unit) AS kept_doc_id
-  FROM k
-), s AS (
-  SELECT r, count(*) FILTER (seen > 1) AS n_removed, sum(length(line)) FILTER (seen > 1) AS removed_chars,
-    string_agg(line, chr(10) ORDER BY unit) FILTER (seen = 1) AS text,
-    string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(start AS BIGINT) + length(line) AS VARCHAR) || ':' || CAST(kept_doc_id AS VARCHAR), ' ' ORDER BY unit)
-      FILTER (seen > 1) AS removed
-  FROM g GROUP BY r
+  SELECT *, unit - row_number() OVER (PARTITION BY r ORDER BY i) AS island FROM w WHERE again
+), l AS (
+  SELECT r, island, min(i) AS low, max(i) AS high FROM g GROUP BY r, island HAVING sum(words) >= 25
+), t AS (
+  SELECT r, string_agg(piece, '' ORDER BY i) AS text FROM k WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.r = k.r AND i BETWEEN low AND high) GROUP BY r
+), x AS (
+  SELECT g.r, count(*) AS n_removed,
+    string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(start AS BIGINT) + length(piece) AS VARCHAR) || ':' || CAST(kept_doc_id AS VARCHAR), ' ' ORDER BY i) AS removed
+  FROM g JOIN l ON g.r = l.r AND g.island = l.island GROUP BY g.r
 )
-SELECT d.doc_id, coalesce(s.text, CASE WHEN d.text IS NOT NULL THEN '' END) AS text, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-  CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(removed, '') AS removed
-FROM d LEFT JOIN s USING (r)
+SELECT d.doc_id, coalesce(t.text, CASE WHEN d.text IS NOT NULL THEN '' END) AS text, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(length(d.text), 0) - coalesce(length(t.text), 0) AS BIGINT) AS removed_chars, coalesce(removed, '') AS removed
+FROM d LEFT JOIN t USING (r) LEFT JOIN x USING (r)
 """
 
 
 @query("op3_line_deduplication", OP3_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .line_dedup import without_repeats
+    from .line_dedup import REMOVED, without_repeats
 
-    found = without_repeats(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents").withColumn("size", F.coalesce(F.length("text"), F.lit(0)))
+    found = without_repeats(docs)
     span = lambda r: F.concat(r["start"], F.lit("-"), r["end"], F.lit(":"), F.coalesce(r["kept_doc_id"].cast("string"), F.lit("")))
-    removed = F.coalesce("removed", F.array().cast("array<struct<unit:int,start:bigint,end:bigint,kept_doc_id:bigint>>"))
-    return found.select("row.doc_id", "row.text", removed.alias("x")).select(
+    removed = F.coalesce("removed", F.array().cast(REMOVED))
+    return found.select("row.doc_id", "row.text", "row.size", removed.alias("x")).select(
         "doc_id",
         "text",
         F.size("x").cast("long").alias("n_removed"),
-        F.aggregate("x", F.lit(0).cast("long"), lambda acc, r: acc + r["end"] - r["start"]).alias("removed_chars"),
+        (F.col("size") - F.coalesce(F.length("text"), F.lit(0))).cast("long").alias("removed_chars"),
         F.array_join(F.transform("x", span), " ").alias("removed"),
     )
 

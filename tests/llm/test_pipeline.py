@@ -10,6 +10,7 @@ from scriptorium.llm.queries import QUERIES, piece_model
 
 from .conftest import SMALLEST
 from .test_decontamination import expected as contaminated
+from .test_line_dedup_and_chat import plain as plain_lines
 from .test_near_copies import plain_shingles, similarity
 
 
@@ -29,16 +30,8 @@ def test_stages(spark):
     assert all(similarity(sets[a], sets[b]) < 0.8 for a in near for b in near if a < b)
     assert all(any(similarity(sets[i], sets[k]) >= 0.8 for k in sets if k < i) for i in set(language) - set(near))
     assert set(lines) == set(near)
-    seen, plain = set(), {}
-    for doc_id in sorted(near):
-        own = []
-        for line in near[doc_id].split("\n"):
-            unit = b" ".join(line.encode().lower().split())
-            if len(unit.split()) < 5 or unit not in seen:
-                own.append(line)
-                seen.add(unit)
-        plain[doc_id] = "\n".join(own)
-    assert lines == plain
+    expected_lines = plain_lines(list(near.items()))
+    assert lines == {i: t for (i, _), t in expected_lines.items()}
     items = [(r["item_id"], r["text"]) for r in table(spark, SMALLEST, "benchmark").collect()]
     assert set(clean) == {r[0] for r in contaminated(list(lines.items()), items) if not r[2]}
     library = sentencepiece.SentencePieceProcessor(model_file=piece_model())
