@@ -505,15 +505,27 @@ CORRECTION_REASON = """
     FROM requests_v"""
 
 
+_EDIT_DIGEST = "sha256(object_id || chr(31) || CAST(page AS STRING) || chr(31) || version || chr(31) || actor || chr(31) || reason || chr(31) || new_text || chr(31) || new_notes)"
+_EDIT_ID = (
+    "substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-8' || substr({h}, 18, 3) || '-' || substr({h}, 21, 12)"
+).format(h=_EDIT_DIGEST)
+_STAMP = "'2024-05-0' || CAST(1 + page % 9 AS STRING) || 'T10:00:00+00:00'"
+
+
+def stamped(t) -> DataFrame:
+    page = (F.col("page") % 9 + 1).cast("string")
+    return t.requests_v.withColumn("timestamp", F.concat(F.lit("2024-05-0"), page, F.lit("T10:00:00+00:00")))
+
+
 @query(
     "job22_accepted_corrections",
-    """SELECT object_id, page, substr(sha256(object_id || chr(31) || CAST(page AS STRING) || chr(31) || version || chr(31) || actor || chr(31) || reason || chr(31) || new_text || chr(31) || new_notes), 1, 16) AS edit_id,
+    f"""SELECT object_id, page, {_EDIT_ID} AS edit_id, {_STAMP} AS event_time,
               actor, actor_kind, reason AS note, current_text AS before_text, new_text AS after_text, current_notes AS before_notes, new_notes AS after_notes,
               current_status <> 'in_review' AS reopened, 'in_review' AS review_status, TRUE AS needs_review FROM judged WHERE code IS NULL""",
     {"judged": CORRECTION_REASON},
 )
 def _(t):
-    return review.apply_corrections(t.requests_v)[0]
+    return review.apply_corrections(stamped(t))[0]
 
 
 @query(
@@ -522,7 +534,62 @@ def _(t):
     {"judged": CORRECTION_REASON},
 )
 def _(t):
-    return review.apply_corrections(t.requests_v)[1].select("object_id", "page", "code")
+    return review.apply_corrections(stamped(t))[1].select("object_id", "page", "code")
+
+
+def rival_requests(t) -> DataFrame:
+    """Each request three times against one version: as it is, earlier with another text, and earliest with a control character in its text."""
+    base = stamped(t).withColumn("page_type", F.when(F.col("page") % 8 == 7, "blank").otherwise(""))
+    earlier = base.withColumn("new_text", F.concat("new_text", F.lit(" früher"))).withColumn("timestamp", F.lit("2024-01-01T10:00:00+00:00"))
+    broken = base.withColumn("new_text", F.concat("new_text", F.char(F.lit(11)))).withColumn("timestamp", F.lit("2023-01-01T10:00:00+00:00"))
+    return base.unionByName(earlier).unionByName(broken)
+
+
+RIVALS = """
+    SELECT r.* REPLACE (r.new_text || CASE k WHEN 1 THEN ' früher' WHEN 2 THEN chr(11) ELSE '' END AS new_text, coalesce(actor_kind, 'human') AS actor_kind), k, r.new_text AS asked
+    FROM requests_v r CROSS JOIN (VALUES (0), (1), (2)) x(k)"""
+JUDGED_RIVALS = """
+    SELECT *, CASE WHEN code IS NULL AND k = 0 THEN 'version_conflict' ELSE code END AS final FROM (
+      SELECT *, CASE WHEN trim(actor) = '' OR actor_kind = 'robot' THEN 'actor' WHEN reason = '' THEN 'no_reason'
+         WHEN current_version IS NULL THEN 'unknown_page' WHEN version <> current_version THEN 'version_conflict'
+         WHEN new_text = current_text AND new_notes = current_notes THEN 'no_change' WHEN has_foreign THEN 'foreign_paragraphs'
+         WHEN k = 2 OR page % 8 = 7 THEN 'contract' END AS code FROM rivals)"""
+
+
+@query(
+    "job22_rival_corrections",
+    "SELECT object_id, page, new_text AS after_text, coalesce(final, 'accepted') AS code FROM judged_rivals",
+    {"rivals": RIVALS, "judged_rivals": JUDGED_RIVALS},
+)
+def _(t):
+    accepted, rejected = review.apply_corrections(rival_requests(t))
+    return accepted.select("object_id", "page", "after_text", F.lit("accepted").alias("code")).unionByName(
+        rejected.select("object_id", "page", F.col("new_text").alias("after_text"), "code")
+    )
+
+
+@query(
+    "job22_corrected_objects",
+    """SELECT object_id, count(*) AS page_count, CAST(sum(length(regexp_replace(text, '^\\s+|\\s+$', '', 'g'))) AS BIGINT) AS total_chars, TRUE AS needs_review,
+              CAST(0 AS BIGINT) AS broken_rules
+       FROM (SELECT r.object_id, coalesce(j.new_text, r.current_text) AS text, bool_or(j.page IS NOT NULL) OVER (PARTITION BY r.object_id) AS touched
+             FROM requests_v r LEFT JOIN (SELECT * FROM judged_rivals WHERE final IS NULL) j ON j.object_id = r.object_id AND j.page = r.page)
+       WHERE touched GROUP BY object_id""",
+    {"rivals": RIVALS, "judged_rivals": JUDGED_RIVALS},
+)
+def _(t):
+    from ..operators import reviews
+
+    pages = t.requests_v.select(
+        "object_id", "page", F.col("current_text").alias("transcription"), F.col("current_notes").alias("notes"),
+        F.col("current_status").alias("review_status"), F.lit("").alias("page_type"), F.array().cast("array<int>").alias("foreign_paragraphs"),
+    )
+    accepted, _ = review.apply_corrections(rival_requests(t))
+    broken = reviews.audit_edits(review.edit_events(accepted), review.corrected_pages(pages, accepted)).groupBy("object_id").count()
+    signals = review.corrected_signals(pages, accepted).select("object_id", "page_count", "total_chars", "needs_review")
+    return signals.join(broken, "object_id", "left").select(
+        "object_id", "page_count", "total_chars", "needs_review", F.coalesce("count", F.lit(0)).cast("bigint").alias("broken_rules")
+    )
 
 
 @query(
