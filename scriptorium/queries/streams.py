@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..bindings import as_stream, bound
-from ..operators import quality
 from ..session import checkpoint_dir
 from ..streaming import assessment, corrections, reviews
 from .assessment import MEASURES, blocks
@@ -96,11 +95,44 @@ def _(t):
 @query(
     "str06_running_status_counts",
     """SELECT d.overall_status, count(m.object_id) AS objects FROM (VALUES ('confident'), ('needs_review'), ('problematic')) d(overall_status)
-       LEFT JOIN (SELECT object_id, CASE WHEN unverified THEN 'needs_review' ELSE 'confident' END AS overall_status FROM measures) m ON m.overall_status = d.overall_status GROUP BY d.overall_status""",
-    {"measures": MEASURES},
+       LEFT JOIN (SELECT object_id, CASE WHEN errors > 2 THEN 'problematic' WHEN warnings > 0 OR needs_review OR unverified_pages > 0 THEN 'needs_review' ELSE 'confident' END AS overall_status
+                  FROM assessed) m ON m.overall_status = d.overall_status GROUP BY d.overall_status""",
+    blocks("assessed"),
+)
+def _(t):
+    # a quarter of the objects is empty at first, so its status changes with the second batch
+    folder = f"{checkpoint_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    last = t.pages_v
+    first = last.withColumn("transcription", F.when(F.expr(CHANGED), "").otherwise(F.col("transcription")))
+    for version in (first, last):
+        version.write.mode("append").parquet(f"{folder}/in")
+        pages = t.spark.readStream.schema(last.schema).parquet(f"{folder}/in")
+        assessment.assess_stream(pages, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+        results = t.spark.readStream.schema("object_id string, overall_status string, batch int").parquet(f"{folder}/out")
+        assessment.count_stream(results.withColumnRenamed("batch", "seq"), f"{folder}/counts", f"{folder}/counted").awaitTermination()
+    return assessment.status_counts(t.spark, f"{folder}/counts")
+
+
+@query(
+    "str05_overtaken_proposals",
+    """SELECT 'conv-' || CAST(conv_id AS STRING) AS object_id, CAST(turn + 1 AS INT) AS page, (conv_id + turn) % 4 AS hours, sha256(text || '!') AS current_version
+       FROM conversations WHERE (conv_id + turn) % 4 IN (1, 2)""",
 )
 def _(t):
-    pages = bound(t.spark, t.sf_dir, "pages_v", as_stream)
-    status = F.when(quality.is_unverified(F.col("transcription"), F.col("page_type")), "needs_review").otherwise("confident")
-    counts = assessment.running_counts(pages.select("object_id", status.alias("overall_status")))
-    return assessment.zero_filled(run_to_end(counts, "complete"))
+    def timed(rows: DataFrame, hours) -> DataFrame:
+        start = F.lit("2024-01-01 10:00:00").cast("timestamp")
+        return rows.select(
+            F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("object_id"), (F.col("turn") + 1).cast("int").alias("page"),
+            F.sha2("text", 256).alias("version"), F.sha2(F.concat("text", F.lit("!")), 256).alias("new_version"), ((F.col("conv_id") + F.col("turn")) % 4).alias("hours"),
+            F.timestamp_add("hour", hours, F.timestamp_add("minute", (F.col("turn") % 50).cast("int"), start)).alias("at"),
+        )
+
+    n = (F.col("conv_id") + F.col("turn")) % 4
+    # corrections one or two hours after the proposal, one before it, and one of another version
+    hours = F.when(n == 0, -1).otherwise(n).cast("int")
+    rows = as_stream(t.spark, t.sf_dir, "conversations")
+    proposals = timed(rows, F.lit(0)).select("object_id", "page", "hours", "version", F.col("at").alias("proposed_at"))
+    made = timed(as_stream(t.spark, t.sf_dir, "conversations"), hours).select(
+        "object_id", "page", F.when(F.col("hours") == 3, "other").otherwise(F.col("version")).alias("base_version"), "new_version", F.col("at").alias("accepted_at")
+    )
+    return run_to_end(corrections.overtaken_proposals(proposals, made).select("object_id", "page", "hours", "current_version"))

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .. import vocab
 from ..operators import fingerprints, incremental
 from ..plans.assessment import assess
+from .reviews import use_rocksdb
 
 
 def object_states(pages: DataFrame) -> DataFrame:
@@ -77,9 +82,71 @@ def _drop_states(spark: SparkSession, states: str, before: int) -> None:
             files.delete(status.getPath(), True)
 
 
-def running_counts(assessed: DataFrame) -> DataFrame:
-    """Objects per overall status of a stream, for update or complete mode."""
-    return assessed.groupBy("overall_status").agg(F.count(F.lit(1)).alias("objects"))
+STATUS = StructType([StructField("status", StringType()), StructField("seq", LongType())])
+CHANGES = "object_id string, overall_status string, change long"
+
+
+class LastStatus(StatefulProcessor):
+    """Holds the last status of an object and takes it back when another one comes.
+
+    Rows of one object may arrive in any order and over many batches; the highest ``seq`` counts, and of a batch nothing but that row is kept.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("status", STATUS)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        status, seq = self.state.get() if self.state.exists() else (None, None)
+        before = status
+        for part in rows:
+            top = part.loc[part["seq"].idxmax()]
+            if seq is None or top["seq"] > seq:
+                status, seq = top["overall_status"], int(top["seq"])
+        self.state.update((status, seq))
+        moved = [] if status == before else [(key[0], before, -1)] * (before is not None) + [(key[0], status, 1)]
+        yield pd.DataFrame(moved, columns=["object_id", "overall_status", "change"]).astype({"change": "int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def status_changes(assessed: DataFrame) -> DataFrame:
+    """(object_id, overall_status, change) of a stream (object_id, seq, overall_status): +1 for a new status, -1 for the one it replaces.
+
+    The sum of the changes by status is at any time the number of objects that have it last.
+    """
+    use_rocksdb(assessed.sparkSession)
+    rows = assessed.select("object_id", F.col("seq").cast("long").alias("seq"), "overall_status")
+    return rows.groupBy("object_id").transformWithStateInPandas(LastStatus(), CHANGES, outputMode="Append", timeMode="None")
+
+
+COUNTS = "overall_status string, objects long"
+
+
+def count_stream(assessed: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
+    """Keep the number of objects per last status of a stream; see ``status_counts``.
+
+    Batch ``n`` adds its changes to the counts of the batches below ``n`` and writes them, a row per status, under its own number with
+    overwriting, so a repeated batch gives the same counts.
+    """
+    spark = assessed.sparkSession
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        before = _latest(spark, output, batch_id)
+        earlier = _read(spark, f"{output}/{before}", COUNTS) if before >= 0 else spark.createDataFrame([], COUNTS)
+        changed = batch.groupBy("overall_status").agg(F.sum("change").alias("objects"))
+        counts = earlier.unionByName(changed).groupBy("overall_status").agg(F.sum("objects").alias("objects"))
+        counts.write.mode("overwrite").parquet(f"{output}/{batch_id}")
+        _drop_states(spark, output, before)
+
+    changes = status_changes(assessed)
+    return changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def status_counts(spark: SparkSession, output: str) -> DataFrame:
+    """The latest counts of ``count_stream`` with all categories."""
+    last = _latest(spark, output, 1 << 62)
+    return zero_filled(_read(spark, f"{output}/{last}", COUNTS) if last >= 0 else spark.createDataFrame([], COUNTS))
 
 
 def zero_filled(counts: DataFrame) -> DataFrame:

@@ -62,3 +62,21 @@ def proposal_staleness(proposals: DataFrame, current: DataFrame) -> DataFrame:
     """
     joined = proposals.join(current.select("object_id", "page", "current_version"), ["object_id", "page"], "left")
     return joined.withColumn("stale", ~F.col("version").eqNullSafe(F.col("current_version")))
+
+
+def overtaken_proposals(proposals: DataFrame, corrections: DataFrame, within: str = "30 days", late: str = "1 day") -> DataFrame:
+    """Proposals that a correction of their page overtook, as a join of two streams.
+
+    proposals(object_id, page, version, proposed_at, ...) and corrections(object_id, page, base_version, new_version, accepted_at) are streams.
+    A proposal turns stale when a correction of the version it was made for is accepted after it, at most ``within`` later; then it comes
+    out once with the time and version of that correction, whichever side arrived first. Both sides are kept for ``within``
+    plus ``late``, the time by which rows may come late, and no longer.
+    """
+    left = proposals.withWatermark("proposed_at", late)
+    right = corrections.select(
+        F.col("object_id").alias("_object"), F.col("page").alias("_page"), F.col("base_version").alias("_base"),
+        F.col("new_version").alias("current_version"), F.col("accepted_at"),
+    ).withWatermark("accepted_at", late)
+    between = (F.col("accepted_at") > F.col("proposed_at")) & (F.col("accepted_at") <= F.col("proposed_at") + F.expr(f"INTERVAL {within}"))
+    same = (F.col("object_id") == F.col("_object")) & (F.col("page") == F.col("_page")) & (F.col("version") == F.col("_base"))
+    return left.join(right, same & between).drop("_object", "_page", "_base")
