@@ -61,6 +61,15 @@ def excluded(documents: DataFrame, others: DataFrame, key: str = "object_id") ->
     return documents.join(others.select(key), key, "left_anti")
 
 
+def documents_of_sources(**sources: DataFrame) -> DataFrame:
+    """(object_id, sources): every document of any source once, with the names of the sources that have it, in order."""
+    found = None
+    for name, rows in sources.items():
+        own = rows.select("object_id", F.lit(name).alias("source")).distinct()
+        found = own if found is None else found.unionByName(own)
+    return found.groupBy("object_id").agg(F.array_sort(F.collect_set("source")).alias("sources"))
+
+
 def unexpected_fields(fields: Column, allowed: list[str]) -> Column:
     """Field names outside the allowed set."""
     return F.array_except(fields, F.array(*[F.lit(a) for a in allowed]))

@@ -43,3 +43,24 @@ def without_violations(df: DataFrame, found: DataFrame, *keys: str) -> DataFrame
     """The rows whose object broke no rule."""
     keys = keys or ("object_id",)
     return df.join(found.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def run_errors(*parts: DataFrame) -> DataFrame:
+    """Error rows (object_id, error, stage) of all sources of a run; equal rows of two sources stay two."""
+    found = parts[0].select("object_id", "error", "stage")
+    for part in parts[1:]:
+        found = found.unionByName(part.select("object_id", "error", "stage"))
+    return found
+
+
+def run_summary(objects: DataFrame, errors: DataFrame) -> DataFrame:
+    """(stage, errors, failed, total): error rows and failed objects per stage, and over all stages (stage null).
+
+    ``total`` is the number of objects of the run; stages without errors have no row, and the row of all stages is always there.
+    """
+    total = objects.agg(F.count_distinct("object_id").alias("total"))
+    counts = [F.count(F.lit(1)).alias("errors"), F.count_distinct("object_id").alias("failed")]
+    per_stage = errors.groupBy("stage").agg(*counts)
+    whole = errors.agg(*counts).select(F.lit(None).cast("string").alias("stage"), "errors", "failed")
+    # one row on the right
+    return per_stage.unionByName(whole).join(F.broadcast(total.withColumn("_one", F.lit(1))), F.col("_one") == 1).drop("_one")

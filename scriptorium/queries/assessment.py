@@ -203,3 +203,20 @@ def _(t):
     return t.documents.select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("object_id"), hits.alias("hits")
     ).withColumn("severity", quality.severity(rule, F.col("hits")))
+
+
+@query(
+    "job07_agg05_with_verdicts",
+    """SELECT a.object_id, v.unreviewed_pages, CASE WHEN v.unsure OR a.errors > 2 THEN 'problematic'
+              WHEN v.likely OR v.unreviewed_pages > 0 OR a.warnings > 0 OR a.needs_review OR a.unverified_pages > 0 OR a.confidence = 'low' THEN 'needs_review'
+              ELSE 'confident' END AS overall_status
+       FROM assessed a LEFT JOIN (SELECT object_id, bool_or(k = 0) AS unsure, bool_or(k = 1) AS likely, count(*) FILTER (k = 2) AS unreviewed_pages
+         FROM (SELECT object_id, (CAST(substr(object_id, 6) AS INT) * 3 + page) % 17 AS k FROM pages_v WHERE CAST(substr(object_id, 6) AS INT) % 5 <> 0) GROUP BY object_id) v ON v.object_id = a.object_id""",
+    blocks("assessed"),
+)
+def _(t):
+    number = F.substring("object_id", 6, 20).cast("int")
+    k = (number * 3 + F.col("page")) % 17
+    confidence = F.when(k == 0, "uncertain").when(k == 1, "likely").when(k == 2, "unreviewed").otherwise("confident")
+    verdicts = t.pages_v.filter(number % 5 != 0).select("object_id", "page", confidence.alias("confidence"))
+    return assessment.assess(t.pages_v, t.objects_v, verdicts).select("object_id", "unreviewed_pages", "overall_status")

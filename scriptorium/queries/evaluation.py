@@ -101,14 +101,17 @@ def _(t):
 
 @query(
     "agg14_fixture_mean",
-    """SELECT profile, count(*) AS n_fixtures, avg(value) AS value
-       FROM (SELECT CASE WHEN conv_id % 2 = 0 THEN 'a' ELSE 'b' END AS profile, CAST(length(text) AS DOUBLE) / 100 AS value FROM conversations) GROUP BY profile""",
+    """SELECT 'zbz-fidelity' AS profile, 'fixture-mean' AS method, count(*) AS n_fixtures, avg(CASE WHEN starts_with(text, '#') THEN 0.0 ELSE 1.0 / length(text) END) AS value
+       FROM conversations WHERE text <> ''""",
 )
 def _(t):
+    # the first character of every turn is wrong, so its rate is one by its length
     rows = t.conversations.select(
-        F.when(F.col("conv_id") % 2 == 0, "a").otherwise("b").alias("profile"), (F.length("text") / 100).alias("value")
+        F.concat_ws("-", "conv_id", "turn").alias("fixture_id"), F.lit("zbz-fidelity").alias("profile"), F.col("text").alias("reference"),
+        F.concat(F.lit("#"), F.expr("substring(text, 2)")).alias("hypothesis"),
     )
-    return rows.groupBy("profile").agg(F.count(F.lit(1)).alias("n_fixtures"), F.avg("value").alias("value"))
+    records, _errors = evaluation.cer_records(rows)
+    return evaluation.aggregates(records).select("profile", "method", "n_fixtures", "value")
 
 
 @query(
@@ -123,13 +126,33 @@ def _(t):
 
 @query(
     "job16_evaluation_report",
-    """SELECT fixture_id, 'cer' AS metric, CASE WHEN reference_chars > 0 THEN 'ok' ELSE 'error' END AS status,
-              CAST(reference_chars AS INT) AS n, profile, CASE WHEN reference_chars = 0 THEN 'empty_reference' END AS message FROM scored""",
+    """SELECT s.fixture_id, 'cer' AS metric, CASE WHEN reference_chars > 0 THEN 'ok' ELSE 'error' END AS status,
+              CASE WHEN reference_chars > 0 AND s.profile = 'hsa-strict' THEN CAST(distance AS DOUBLE) / reference_chars END AS value,
+              CAST(reference_chars AS INT) AS n, CASE WHEN length(s.fixture_id) % 2 = 0 THEN 'page' ELSE 'document' END AS scope, s.profile,
+              'gold' AS reference_class, 'stable' AS maturity, CASE WHEN s.profile = 'hsa-strict' THEN 'abc123' END AS git_anchor,
+              'hypothesis=' || sha256(hypothesis) || ',reference=' || sha256(reference) AS input_hashes,
+              CASE WHEN reference_chars > 0 THEN CAST(distance AS INT) END AS recorded_distance, CASE WHEN reference_chars > 0 THEN TRUE END AS consistent,
+              CASE WHEN reference_chars = 0 THEN 'empty_reference' END AS message
+       FROM scored s JOIN pairs_v p ON p.fixture_id = s.fixture_id""",
     {"scored": SCORED},
 )
 def _(t):
+    hashed = lambda c: F.sha2(c, 256)
+    fixtures = t.pairs_v.select(
+        "fixture_id", F.when(F.length("fixture_id") % 2 == 0, "page").otherwise("document").alias("scope"), F.lit("gold").alias("reference_class"),
+        F.lit("stable").alias("maturity"), F.when(F.col("profile") == "hsa-strict", "abc123").alias("git_anchor"),
+        F.create_map(F.lit("hypothesis"), hashed("hypothesis"), F.lit("reference"), hashed("reference")).alias("input_hashes"),
+    )
     records, errors = evaluation.cer_records(pairs(t))
-    return evaluation.with_error_records(records, errors).select("fixture_id", "metric", "status", "n", "profile", "message")
+    full = evaluation.full_records(evaluation.with_error_records(records, errors), fixtures)
+    hashes = F.array_join(F.transform(F.array_sort(F.map_keys("input_hashes")), lambda k: F.concat(k, F.lit("="), F.element_at("input_hashes", k))), ",")
+    # the rate of the other profile depends on the alignment: agg14 checks it
+    return full.select(
+        "fixture_id", "metric", "status", F.when(F.col("profile") == "hsa-strict", F.col("value")).alias("value"), "n", "scope", "profile", "reference_class",
+        "maturity", "git_anchor", hashes.alias("input_hashes"), F.get_json_object("details", "$.distance").cast("int").alias("recorded_distance"),
+        F.get_json_object("details", "$.decomposition_consistent").cast("boolean").alias("consistent"), "message",
+    )
+
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing, text
-from ..operators.ordered import ordered_concat
+from ..operators.ordered import in_order, ordered_concat
 from ..plans import catalog, markup, reading, structure
 from .registry import query
 
@@ -317,9 +317,15 @@ def _(t):
     return catalog.search(catalog_rows(t), "SIG. 1").select("id")
 
 
-@query("srt06_catalog_sort", "SELECT id, title, page_count FROM catalog ORDER BY page_count DESC, id", CATALOG_BLOCKS)
+@query(
+    "srt06_catalog_sort",
+    """SELECT id, title, page_count, row_number() OVER (ORDER BY page_count DESC, id) AS position FROM catalog""",
+    CATALOG_BLOCKS,
+)
 def _(t):
-    return catalog.sort_catalog(catalog_rows(t), "page_count", ascending=False).select("id", "title", "page_count")
+    ordered = catalog.sort_catalog(catalog_rows(t), "page_count", ascending=False).select("id", "title", "page_count")
+    # partitions of a sorted table follow each other, so the row numbers ascend with the order
+    return in_order(ordered.withColumn("row", F.monotonically_increasing_id()), ["row"]).drop("row")
 
 
 @query("agg18_newest_input_state", "SELECT coalesce(max(input_state_timestamp), '') AS input_state_timestamp FROM metadata", {"metadata": METADATA})

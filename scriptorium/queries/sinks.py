@@ -12,6 +12,7 @@ from ..session import checkpoint_dir
 from ..sinks import writers
 from .assessment import blocks
 from .evaluation import SCORED, pairs
+from .markup import CATALOG_BLOCKS, catalog_rows
 from .registry import query
 
 
@@ -47,12 +48,21 @@ def _(t):
     )
 
 
-@query("snk04_catalog_export", "SELECT object_id AS id, title, date FROM objects_v")
+@query(
+    "snk04_catalog_export",
+    """SELECT 'catalog' AS file, id, title, date, language, signature, status, page_count, has_images, CAST(NULL AS INT) AS page FROM catalog
+       UNION ALL SELECT 'records', object_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, page FROM pages_v""",
+    CATALOG_BLOCKS,
+)
 def _(t):
     path = folder(t)
-    rows = t.objects_v.select(F.col("object_id").alias("id"), "title", "date")
-    writers.write_catalog(rows, t.pages_v.select("object_id", "page"), path)
-    return t.spark.read.schema("id string, title string, date string").json(f"{path}/catalog")
+    writers.write_catalog(catalog_rows(t), t.pages_v.select("object_id", "page"), path)
+    schema = "id string, title string, date string, language string, signature string, status string, page_count long, has_images boolean"
+    rows = t.spark.read.schema(schema).json(f"{path}/catalog").withColumn("file", F.lit("catalog"))
+    records = t.spark.read.schema("object_id string, page int").json(f"{path}/records").select(
+        F.lit("records").alias("file"), F.col("object_id").alias("id"), "page"
+    )
+    return rows.unionByName(records, allowMissingColumns=True)
 
 
 @query("snk05_error_table", "SELECT object_id, error, 'render' AS stage, 'r1' AS run FROM manifest_v WHERE error IS NOT NULL")
@@ -65,19 +75,17 @@ def _(t):
 
 @query(
     "snk06_evaluation_report",
-    """SELECT '| ' || fixture_id || ' | cer | ok | ' || CAST(CAST(length(fixture_id) AS INT) AS STRING) || ' |' AS line FROM scored WHERE reference_chars > 0""",
+    """SELECT '| ' || fixture_id || ' | cer | ok | ' || printf('%.6f', distance / reference_chars) || ' | ' || CAST(reference_chars AS STRING) || ' | hsa-strict |' AS line
+       FROM scored WHERE reference_chars > 0 AND profile = 'hsa-strict'
+       UNION ALL SELECT '- ' || fixture_id || ' (cer): empty_reference' FROM scored WHERE reference_chars = 0""",
     {"scored": SCORED},
 )
 def _(t):
+    path = folder(t)
     records, errors = evaluation.cer_records(pairs(t))
-    lines = writers.report_lines(records, evaluation.aggregates(records), errors).filter("section = 7")
-    # value and length depend on the alignment and rounding; the check compares identity and status
-    cells = F.split("line", r" \| ")
-    fixture = F.regexp_replace(F.get(cells, F.lit(0)), r"^\| ", "")
-    return lines.select(
-        F.concat(F.lit("| "), fixture, F.lit(" | "), F.get(cells, F.lit(1)), F.lit(" | "), F.get(cells, F.lit(2)), F.lit(" | "),
-                 F.length(fixture).cast("string"), F.lit(" |")).alias("line")
-    )
+    writers.write_evaluation(records, evaluation.aggregates(records), errors, path)
+    # lines of the written report; the other profile's values depend on the alignment
+    return t.spark.read.text(f"{path}/report").select(F.col("value").alias("line")).filter("line LIKE '%| hsa-strict |' AND line LIKE '%| cer | ok |%' OR line LIKE '- %'")
 
 
 @query("snk07_published_snapshot", "SELECT 'doc-' || CAST(doc_id AS STRING) AS object_id, sha256(text) AS sha256 FROM documents WHERE doc_id % 7 <> 3")

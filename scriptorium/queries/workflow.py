@@ -55,12 +55,14 @@ def _(t):
 
 @query(
     "job04_gate23_answer_errors",
-    """SELECT 'doc-' || CAST(doc_id AS STRING) AS object_id, CASE WHEN doc_id % 9 = 3 THEN 'parse' WHEN doc_id % 9 = 8 THEN 'api_call' ELSE 'contract' END AS stage
+    """SELECT 'doc-' || CAST(doc_id AS STRING) AS object_id, CASE WHEN doc_id % 9 = 3 THEN 'parse' WHEN doc_id % 9 = 8 THEN 'api_call' ELSE 'contract' END AS stage,
+              'chunk 1: ' || CASE doc_id % 9 WHEN 3 THEN 'JSON parse failed after retry' WHEN 4 THEN 'answer.confidence' WHEN 5 THEN 'page.page_type' WHEN 6 THEN 'page.reserved'
+                WHEN 7 THEN 'page.sequence' ELSE 'timeout' END AS error
        FROM documents WHERE doc_id % 9 >= 3""",
 )
 def _(t):
     _pages, _objects, errors = ingestion.ingest(plan_of(t), model_calls(t))
-    return errors.select("object_id", "stage")
+    return errors.select("object_id", "stage", "error")
 
 
 CHUNKS = """
@@ -135,16 +137,20 @@ def _(t):
 @query(
     "job08_verdict_ingestion",
     """SELECT object_id, page, CASE WHEN transcription = '' THEN CASE WHEN page_type = 'blank' THEN 'confident' ELSE 'unreviewed' END
-              WHEN confidence IS NULL THEN 'unreviewed' WHEN confidence = 'perhaps' THEN 'uncertain' ELSE confidence END AS confidence FROM verdicts_v""",
+              WHEN confidence IS NULL THEN 'unreviewed' WHEN confidence = 'perhaps' THEN 'uncertain' ELSE confidence END AS confidence,
+              CASE WHEN transcription = '' THEN CASE WHEN page_type = 'blank' THEN 'Declared blank page, nothing to validate.' ELSE 'Empty page without a declared blank-page classification.' END
+              WHEN confidence IS NULL THEN 'Judge not reached.' WHEN confidence = 'perhaps' THEN 'Response violated the validation contract.' ELSE 's' || object_id END AS summary,
+              CASE WHEN transcription <> '' AND confidence <> 'perhaps' THEN 'spelling:a>b:linguistic' ELSE '' END AS issues FROM verdicts_v""",
 )
 def _(t):
     rows = t.verdicts_v
     issue = F.struct(
         F.lit("spelling").alias("type"), F.lit("a").alias("text"), F.lit("b").alias("suggestion"), F.lit("linguistic").alias("perspective")
     )
-    answer = F.to_json(F.struct("confidence", F.lit("s").alias("summary"), F.array(issue).alias("issues")))
+    answer = F.to_json(F.struct("confidence", F.concat(F.lit("s"), "object_id").alias("summary"), F.array(issue).alias("issues")))
     answers = rows.filter("confidence IS NOT NULL").select("object_id", "page", answer.alias("answer"))
-    return ingestion.ingest_verdicts(rows, answers).select("object_id", "page", "confidence")
+    shown = F.transform("issues", lambda i: F.concat(i["type"], F.lit(":"), i["text"], F.lit(">"), i["suggestion"], F.lit(":"), i["perspective"]))
+    return ingestion.ingest_verdicts(rows, answers).select("object_id", "page", "confidence", "summary", F.array_join(shown, ",").alias("issues"))
 
 
 @query(
@@ -674,22 +680,29 @@ def _(t):
 
 @query(
     "set01_records_and_errors",
-    """SELECT object_id, 'error' AS status, error AS message FROM manifest_v WHERE error IS NOT NULL AND page > 0
-       UNION ALL SELECT object_id, 'ok', NULL FROM manifest_v WHERE error IS NULL""",
+    """SELECT 'page-' || CAST(page_id AS STRING) AS fixture_id, 'relaxng' AS metric, 'invalid' AS status, CAST(0 AS DOUBLE) AS value, CAST(1 AS INT) AS n, NULL AS message FROM pages
+       UNION ALL SELECT object_id, 'render', 'error', NULL, 0, error FROM manifest_v WHERE error IS NOT NULL""",
 )
 def _(t):
-    ok = t.manifest_v.filter("error IS NULL").select("object_id", F.lit("ok").alias("status"))
-    failed = t.manifest_v.filter("error IS NOT NULL").select("object_id", F.lit("error").alias("status"), F.col("error").alias("message"))
-    return ok.unionByName(failed, allowMissingColumns=True)
+    from ..plans import evaluation, structure
+    from .markup import html_fragments
+
+    failed = t.manifest_v.filter("error IS NOT NULL").select(
+        F.col("object_id").alias("fixture_id"), F.lit("render").alias("stage"), F.col("error").alias("message"), F.lit(None).cast("string").alias("profile")
+    )
+    records = evaluation.conformance_records(structure.conformance(html_fragments(t)))
+    return evaluation.with_error_records(records, failed).select("fixture_id", "metric", "status", "value", "n", "message")
 
 
 @query(
     "set02_documents_of_three_sources",
-    "SELECT object_id, count(*) AS sources FROM (SELECT DISTINCT object_id, 1 AS s FROM images_v UNION ALL SELECT DISTINCT object_id, 2 FROM manifest_v UNION ALL SELECT object_id, 3 FROM objects_v) GROUP BY object_id",
+    """SELECT object_id, string_agg(s, ',' ORDER BY s) AS sources
+       FROM (SELECT DISTINCT object_id, 'images' AS s FROM images_v UNION ALL SELECT DISTINCT object_id, 'manifest' FROM manifest_v WHERE error IS NOT NULL UNION ALL SELECT object_id, 'objects' FROM objects_v)
+       GROUP BY object_id""",
 )
 def _(t):
-    frames = [f.select("object_id").distinct() for f in (t.images_v, t.manifest_v, t.objects_v)]
-    return frames[0].union(frames[1]).union(frames[2]).groupBy("object_id").agg(F.count(F.lit(1)).alias("sources"))
+    found = selection.documents_of_sources(images=t.images_v, manifest=t.manifest_v.filter("error IS NOT NULL"), objects=t.objects_v)
+    return found.select("object_id", F.array_join("sources", ",").alias("sources"))
 
 
 @query(
@@ -712,13 +725,16 @@ def _(t):
 
 @query(
     "agg22_set06_error_summary",
-    """SELECT stage, count(*) AS errors FROM (SELECT 'render' AS stage FROM manifest_v WHERE error IS NOT NULL
-         UNION ALL SELECT 'fetch' FROM manifest_v WHERE NOT starts_with(url, 'http')) GROUP BY stage""",
+    """SELECT stage, count(*) AS errors, count(DISTINCT object_id) AS failed, (SELECT count(*) FROM objects_v) AS total
+       FROM (SELECT 'render' AS stage, object_id FROM manifest_v WHERE error IS NOT NULL UNION ALL SELECT 'fetch', object_id FROM manifest_v WHERE NOT starts_with(url, 'http'))
+       GROUP BY GROUPING SETS ((stage), ())""",
 )
 def _(t):
+    from ..operators import violations
+
     render = t.manifest_v.filter("error IS NOT NULL").select("object_id", "error", F.lit("render").alias("stage"))
     fetch = t.manifest_v.filter("NOT startswith(url, 'http')").select("object_id", F.lit("address").alias("error"), F.lit("fetch").alias("stage"))
-    return render.union(fetch).groupBy("stage").agg(F.count(F.lit(1)).alias("errors"))
+    return violations.run_summary(t.objects_v, violations.run_errors(render, fetch))
 
 
 @query(
@@ -735,10 +751,21 @@ def _(t):
 
 @query(
     "gate22_vocabularies",
-    "SELECT object_id, confidence IN ('', 'low', 'medium', 'high') AS known FROM objects_v",
+    """SELECT object_id, code FROM (
+         SELECT object_id, unnest([CASE WHEN n % 4 = 1 THEN 'file.confidence' END, CASE WHEN n % 6 = 2 THEN 'file.confidence_notes' END]) AS code
+         FROM (SELECT object_id, CAST(substr(object_id, 6) AS INT) AS n FROM objects_v)) WHERE code IS NOT NULL""",
 )
 def _(t):
-    return t.objects_v.select("object_id", F.col("confidence").isin(vocab.CONFIDENCE_VALUES).alias("known"))
+    from ..operators import contract
+
+    number = F.substring("object_id", 6, 20).cast("int")
+    confidence = F.when(number % 4 == 1, F.concat(F.lit("sure "), "confidence")).otherwise(F.col("confidence"))
+    value = F.concat(
+        F.lit('{"object_id":"'), "object_id", F.lit('","pages":[],"confidence":"'), confidence, F.lit('","confidence_notes":'),
+        F.when(number % 6 == 2, "7").otherwise('"n"'), F.lit("}"),
+    )
+    documents, pages = contract.parsed(t.objects_v.select("object_id", value.alias("value")))
+    return contract.audit_documents(documents, pages).filter("code LIKE 'file.confidence%'").select("object_id", "code")
 
 
 @query(
