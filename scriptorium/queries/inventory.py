@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import contract
 from ..plans import inventory
 from ..sources import files, manifests
+from ..operators.ordered import in_order
 from .registry import query
 
 FOUND = r"""
@@ -29,7 +30,7 @@ MERGED = """
 
 MATERIALIZED = """
     SELECT 'remote-' || CAST(doc_id AS STRING) AS doc_id, CAST(doc_id % 3 AS INT) AS materialized_pages, 'jpg' AS image_format
-    FROM documents WHERE doc_id % 10 < 3"""
+    FROM documents"""
 
 WITH_IMAGES = """
     SELECT coalesce(m.doc_id, i.doc_id) AS doc_id, coalesce(source_type, 'extracted_image') AS source_type,
@@ -56,7 +57,7 @@ def merged(t):
 
 
 def with_images(t):
-    images = t.documents.filter("doc_id % 10 < 3").select(
+    images = t.documents.select(
         F.concat(F.lit("remote-"), F.col("doc_id").cast("string")).alias("doc_id"),
         (F.col("doc_id") % 3).cast("int").alias("materialized_pages"),
         F.lit("jpg").alias("image_format"),
@@ -94,6 +95,13 @@ def _(t):
     return inventory.inventory(with_images(t))
 
 
+@query("srt03_inventory_order", "SELECT id, row_number() OVER (ORDER BY id) AS position FROM inventory_rows", BLOCKS)
+def _(t):
+    # partitions of a sorted table follow each other, so the row numbers ascend with the order
+    rows = inventory.inventory(with_images(t)).select("id").withColumn("row", F.monotonically_increasing_id())
+    return in_order(rows, ["row"]).drop("row")
+
+
 @query(
     "agg09_inventory_summary",
     "SELECT source_type, count(*) AS documents, CAST(sum(pages) AS BIGINT) AS pages FROM inventory_rows GROUP BY source_type",

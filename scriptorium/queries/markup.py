@@ -503,7 +503,12 @@ def _(t):
     rf"""SELECT p.object_id || '/' || CAST(p.page AS STRING) AS object_id, CAST(1 AS INT) AS page,
                CASE WHEN q.page_type = 'foreign_text' OR q.foreign_index = p.para_idx THEN 'note' ELSE 'p' END AS kind,
                {_UNESC.format(x="regexp_replace(replace(content, '<lb/>', chr(10)), '<[^>]*>', '', 'g')")} AS text
-        FROM paragraph_markup p JOIN pages_v q ON q.object_id = p.object_id AND q.page = p.page WHERE content <> ''""",
+        FROM paragraph_markup p JOIN pages_v q ON q.object_id = p.object_id AND q.page = p.page WHERE content <> ''
+        UNION ALL
+        SELECT object_id || '/' || CAST(page AS STRING), CAST(1 AS INT), 'note',
+               CASE WHEN page_type <> 'gate_low_resolution' THEN 'Empty page without declared page_type; verify against the facsimile.'
+                    WHEN notes <> '' THEN notes ELSE 'Image resolution insufficient for diplomatic transcription.' END
+        FROM pages_v WHERE page_type = 'gate_low_resolution' OR page_type = '' AND NOT regexp_matches(transcription, '\S')""",
     FRAGMENT_BLOCKS,
 )
 def _(t):
@@ -512,11 +517,7 @@ def _(t):
     one_per_page = fragments.select(
         F.concat("object_id", F.lit("/"), F.col("page").cast("string")).alias("object_id"), body.alias("markup")
     )
-    generated = F.col("text").isin(
-        "Empty page without declared page_type; verify against the facsimile.",
-        "Image resolution insufficient for diplomatic transcription.",
-    ) | F.col("text").rlike("^Notiz [0-9]+$")
-    return reading.blocks(one_per_page).filter(~((F.col("kind") == "note") & generated))
+    return reading.blocks(one_per_page)
 
 
 @query(

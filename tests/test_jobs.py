@@ -279,3 +279,52 @@ def test_a_document_beyond_the_variant_limit(spark, tmp_path):
     totals = contract.typed_pages(pages).selectExpr("count(DISTINCT page) AS n", "sum(length(transcription)) AS chars").first()
     assert (totals["n"], totals["chars"]) == (1040, 1040 * len(text))
     assert rows_of(documents, "object_id", "n_pages") == [("huge", 1040)] and errors.count() == 0
+
+
+def test_readers_on_files(spark, tmp_path):
+    """Every reader of a folder, from files to typed rows."""
+    def folder(name, **files):
+        path = tmp_path / name
+        path.mkdir()
+        for file, value in files.items():
+            (path / f"{file}.json").write_text(value if isinstance(value, str) else json.dumps(value))
+        return str(path)
+
+    validated = folder("validated", a={"object_id": "a", "_meta": {"pipeline_step": 4}, "pages": [{"page": 1, "transcription": "x"}]}, b="{")
+    documents, errors = transcriptions.read_validated(spark, validated)
+    assert documents.count() == 0
+    assert {("b", "read"), ("a", "contract")} == {(r["object_id"], r["stage"]) for r in errors.collect()}
+    inventory = folder("inventory", inventory={"documents": [{"id": "d", "source_type": "pdf", "pages": 3, "transcribable": True}, 5, {"pages": 1}]})
+    assert rows_of(manifests.read_inventory(spark, inventory), "id", "source_type", "pages", "transcribable") == [("d", "pdf", 3, True)]
+    images = folder("images", o={"pages": [{"page": 1, "filename": "a.png", "image_url": "https://x"}, {"page": "2", "error": "gone"}]}, p="[]")
+    found = manifests.image_manifest_rows(transcriptions.read_text_files(spark, images))
+    assert sorted(map(tuple, found.select("object_id", "position", "page", "filename", "image_url", "error").collect()), key=str) == [
+        ("o", 0, 1, "a.png", "https://x", None), ("o", 1, None, None, None, "gone"),
+    ]
+    fixtures = folder("fixtures", m={"name": "m", "profile": "hsa-strict", "fixtures": [
+        {"id": "f", "checks": ["cer"], "hypothesis": {"kind": "text", "path": "h"}, "reference": {"kind": "text", "path": "r"}, "maturity": "draft"},
+        {"id": "g", "checks": ["relaxng"], "profile": "zbz-fidelity", "tei": {"path": "t.xml"}, "scope": "page"},
+    ]})
+    read = manifests.read_evaluation_manifest(spark, fixtures)
+    assert rows_of(read, "fixture_id", "profile", "scope", "reference_class", "has_hypothesis") == [
+        ("f", "hsa-strict", "all", "none", True), ("g", "zbz-fidelity", "page", "none", False),
+    ]
+    assert rows_of(evaluation.manifest_violations(read), "fixture_id", "code") == [("g", "fixture_schema")]
+    bound = folder("bound", a={"_meta": {"transcription_sha256": "h"}}, b={"_meta": 5}, c="{")
+    assert sorted(map(tuple, manifests.read_annotations(spark, bound).collect()), key=str) == [("a", True, "h"), ("b", False, None), ("c", False, None)]
+
+
+def test_own_rules_and_profiles(spark, monkeypatch):
+    """A rule list and a comparison profile of one's own."""
+    from scriptorium.operators import quality
+    from scriptorium.plans.assessment import assess
+
+    base = quality.RULES[0]
+    own = [type(base)(**{**vars(base), "name": "crosses", "count": lambda c: F.regexp_count(c, F.lit("x"))})]
+    pages = spark.createDataFrame([("o", 1, "x xx", ""), ("p", 1, "none", "")], "object_id string, page int, transcription string, page_type string")
+    assert rows_of(assess(pages, rules=own), "object_id", "crosses") == [("o", 3), ("p", 0)]
+    profile = next(iter(evaluation.PROFILES.values()))
+    monkeypatch.setitem(evaluation.PROFILES, "loud", type(profile)(**{**vars(profile), "normalise": F.upper}))
+    pairs = spark.createDataFrame([("f", "abc", "ABd", "loud")], "fixture_id string, reference string, hypothesis string, profile string")
+    normal = pairs.select("fixture_id", "profile", *[evaluation.by_profile(lambda p, c=c: p.normalise(F.col(c)), F.col("profile")).alias(c) for c in ("reference", "hypothesis")])
+    assert rows_of(evaluation.cer_records(normal)[0], "fixture_id", "distance", "profile") == [("f", 1, "loud")]
