@@ -11,6 +11,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,10 @@ BLOCK_TAGS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th "
     "thead title tr ul".split()
 )
-RAW_TAGS = "script|style|noscript|template|svg|math|iframe|object|select|textarea|button|title|canvas|audio|video"
+RAW_TAGS = "script|style|noscript|template|iframe|textarea|title"
+#: Elements whose content is no article text as long as no block begins in them; one that is not closed before is an ordinary tag.
+INLINE_RAW_TAGS = "svg|math|button|select|canvas|audio|video"
+BREAKS = "p|div|article|section|main|h[1-6]|ul|ol|li|table|blockquote|body|header|footer|nav|aside|form"
 SIDE_TAGS = frozenset("nav header footer aside form menu dialog search".split())
 MAIN_TAGS = frozenset("article main".split())
 VOID_TAGS = frozenset("hr br img input meta link area base col embed source track wbr".split())
@@ -35,15 +39,23 @@ SIDE_WORDS = frozenset(
     "search share sharing sidebar sidenav sitemap skip social sponsor sponsored sponsors subscribe tags toolbar topbar widget widgets".split()
 )
 MAIN_WORDS = frozenset("article articlebody body content entry main post story".split())
+#: Words that may stand beside those in one name (``site-header``, ``comments-area``); other company makes it a name of something else
+#: (``has-sidebar``, ``header-image``, ``social-science``).
+COMPANY_WORDS = frozenset(
+    "area bar block bottom box column container content footer global group head holder inner item items left link links list main "
+    "nav outer page panel post primary region right row secondary section site slot small text top unit user wrap wrapper".split()
+)
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
+    r"|<(?P<shut>svg|math)(?=[\s/>])[^>]*/>"
+    rf"|<(?P<inline>{INLINE_RAW_TAGS})(?=[\s/>])[^>]*>(?:[^<]++|<(?!/?(?:{BREAKS})[\s/>])(?!/(?P=inline)\s*>))*+</(?P=inline)\s*>"
     rf"|<(?P<raw>{RAW_TAGS})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?>\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 COLUMNS = "words links before before_links after after_links side main has_main heading"
@@ -236,11 +248,11 @@ def blocks(page: str) -> Iterator[Block]:
             in_link = not closing
         elif tag == "br":
             add(" ")
-        if tag not in BLOCK_TAGS and not token["raw"]:
-            continue
-        if token["raw"]:
+        if token["raw"] or token["inline"] or token["shut"]:
             add(" ")
             continue
+        if tag not in BLOCK_TAGS:
+            continue
         yield from flush()
         if tag == "head":
             in_head = not closing
@@ -263,11 +275,25 @@ def blocks(page: str) -> Iterator[Block]:
     yield from flush()
 
 
+def _is_side(name: str) -> bool:
+    """Whether a class, id or role names what is not the article: a word of the list, alone or beside words that do not change it."""
+    words = [w for w in re.split(r"[^a-z]+", name) if w]
+    return any(w in SIDE_WORDS for w in words) and all(w in SIDE_WORDS or w in COMPANY_WORDS for w in words)
+
+
 def _place(tag: str, rest: str) -> tuple[bool, bool]:
-    """(side, main) of an element by its name and by the words it is called by."""
-    names = {w for m in NAMES.finditer(rest) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())} if rest else set()
-    side = tag in SIDE_TAGS or (tag not in ("body", "html") and bool(names & SIDE_WORDS)) or (bool(rest) and bool(HIDDEN.search(rest)))
-    return side, tag in MAIN_TAGS or (tag in ("div", "section") and bool(names & MAIN_WORDS) and not side)
+    """(side, main) of an element by its name and by the names it is given; elements for the article are not taken away by a name."""
+    names = [n for m in NAMES.finditer(rest) for n in (m[1] or m[2] or m[3] or "").lower().split()] if rest else []
+    named = tag not in MAIN_TAGS and tag not in ("body", "html") and any(map(_is_side, names))
+    side = tag in SIDE_TAGS or named or (bool(rest) and bool(HIDDEN.search(rest)))
+    words = {w for n in names for w in re.split(r"[^a-z]+", n)}
+    return side, tag in MAIN_TAGS or (tag in ("div", "section") and bool(words & MAIN_WORDS) and not side)
+
+
+@lru_cache(1)
+def trained() -> Node:
+    """The tree, grown once in a worker."""
+    return grow(labelled_rows())
 
 
 def main_text(page: str, tree: Node) -> str:
@@ -287,7 +313,7 @@ def text_of(page: Column | str) -> Column:
     """The main text of a page's html; null counts as empty, and a page without main text has the empty text."""
 
     def run(pages: pd.Series) -> pd.Series:
-        tree = grow(labelled_rows())
+        tree = trained()
         return pd.Series([main_text(p or "", tree) for p in pages], dtype="object")
 
     return F.pandas_udf(run, "string")(page)
@@ -296,7 +322,7 @@ def text_of(page: Column | str) -> Column:
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages`` (page_id, url, html); other columns are ignored.
 
-    ``n_chars`` counts code points. Repeated rows are all returned; an empty table gives an empty result.
+    ``n_chars`` counts code points. A very long page is read whole, in one row. Repeated rows are all returned; an empty table gives an empty result.
     """
     found = pages.select("page_id", "url", text_of("html").alias("text"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

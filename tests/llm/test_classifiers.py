@@ -158,3 +158,28 @@ def test_next_symbols_are_a_distribution_in_every_state(tree):
     texts = [spelled(words_of(t)) for t in ("", "abra banana", "x" * 3000)]
     single = [tree.scores([t])[0] for t in texts]
     assert np.allclose(tree.scores(texts), single)
+
+
+ARTICLE = (
+    "<p>This is the first paragraph of the article and it has a good number of plain words in it.</p>"
+    "<p>The second paragraph goes on for quite a while with more words that nobody links to at all.</p>"
+)
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        '<div class="content has-sidebar">{}</div>', '<article class="post has-comments">{}</article>', '<div class="entry header-image">{}</div>',
+        '<article class="social-science">{}</article>', '<article data-role="banner">{}</article>', '<main id="search">{}</main>',
+        '<article><svg class="i"/>{}</article>', "<article><button/>{}</article>", "<object>{}</object>", "<article><select><option>x{}</article>",
+        "<article><svg><title>icon</title><path d='M0'/></svg>{}</article>", "<article><button>Share</button>{}</article>",
+    ],
+)
+def test_names_and_elements_that_do_not_end_the_article(frame):
+    page = (
+        f'<html><body><nav><a href="1">Home</a></nav>{frame.format(ARTICLE)}<div class="site-footer">Imprint and so on</div>'
+        '<div id="comments-area"><p>I think that this reader comment should not be here at all.</p></div></body></html>'
+    )
+    text = main_text(page, grow(labelled_rows()))
+    assert text.split("\n")[-2:] == [p.removesuffix("</p>") for p in ARTICLE.split("<p>")[1:]] or text.count("paragraph") == 2
+    assert "comment" not in text and "Imprint" not in text and "icon" not in text and "Share" not in text
