@@ -302,6 +302,24 @@ def _(t):
     return inventory.extraction_audit(t.manifest_v)
 
 
+@query(
+    "job02_extraction_skip",
+    """SELECT object_id, pages, failed_pages, state, coalesce(state = 'complete' AND n % 3 <> 1 AND n % 4 <> 2, FALSE) AS skip
+       FROM (SELECT object_id, count(*) AS pages, count(error) AS failed_pages, CASE WHEN count(error) > 0 THEN 'failed' ELSE 'complete' END AS state,
+                    CAST(substr(object_id, 6) AS INT) AS n FROM manifest_v GROUP BY object_id)
+       UNION ALL SELECT 'new-' || CAST(doc_id AS STRING), NULL, NULL, NULL, FALSE FROM documents""",
+)
+def _(t):
+    # sources that changed, sources that are wanted at another resolution, and sources without a manifest
+    number = F.substring("object_id", 6, 20).cast("int")
+    manifest = t.manifest_v.withColumns({"recorded_sha256": F.sha2("object_id", 256), "dpi": F.lit(300)})
+    known = t.manifest_v.select("object_id").distinct().select(
+        "object_id", F.when(number % 3 == 1, "changed").otherwise(F.sha2("object_id", 256)).alias("source_sha256"), F.when(number % 4 == 2, 400).otherwise(300).alias("wanted_dpi")
+    )
+    new = t.documents.select(F.concat(F.lit("new-"), F.col("doc_id").cast("string")).alias("object_id"), F.lit("x").alias("source_sha256"), F.lit(300).alias("wanted_dpi"))
+    return inventory.extraction_audit(manifest, known.unionByName(new)).select("object_id", "pages", "failed_pages", "state", "skip")
+
+
 @query(
     "job03_join13_fetch_plan",
     """SELECT w.object_id, w.page, w.url, CASE WHEN w.page % 5 = 4 AND i.filename IS NOT NULL THEN 'ambiguous'

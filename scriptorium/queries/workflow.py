@@ -501,7 +501,9 @@ def _(t):
     {"judged": TRANSITION_REASON},
 )
 def _(t):
-    return review.apply_transitions(t.requests_v.drop("reason"))[1].select("object_id", "page", "reason")
+    # the current status comes from the pages' own table
+    state = t.requests_v.select("object_id", "page", "current_status")
+    return review.apply_transitions(t.requests_v.drop("reason", "current_status"), state)[1].select("object_id", "page", "reason")
 
 
 CORRECTION_REASON = """

@@ -32,11 +32,8 @@ class ReviewHistory(StatefulProcessor):
     not advance, exactly as in the batch operator.
     """
 
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
-
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("review", STATE, self.ttl_ms)
+        self.state = handle.getValueState("review", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         events = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable", ignore_index=True)
@@ -61,7 +58,7 @@ class ReviewHistory(StatefulProcessor):
         pass
 
 
-def with_history(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def with_history(events: DataFrame) -> DataFrame:
     """Stateful counterpart of operators.reviews.with_history for a stream."""
     use_rocksdb(events.sparkSession)
     timed = events.withColumn("instant", values.aware_timestamp(F.col("event_time")))
@@ -69,15 +66,15 @@ def with_history(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
         [*timed.schema.fields, StructField("previous_status", StringType()), StructField("previous_instant", TimestampType())]
     )
     return timed.groupBy("object_id", "page").transformWithStateInPandas(
-        ReviewHistory(ttl_ms), schema, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None"
+        ReviewHistory(), schema, outputMode="Append", timeMode="None"
     )
 
 
-def judge_events(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def judge_events(events: DataFrame) -> DataFrame:
     """Accepted and rejected events of a stream, with the codes of the broken rules.
 
     An event that arrives out of order is rejected, never silently reordered
     into the past.
     """
     broken = F.transform(violation_array(review_checks()), lambda v: v["code"])
-    return with_history(events, ttl_ms).withColumn("codes", broken).withColumn("accepted", F.size("codes") == 0)
+    return with_history(events).withColumn("codes", broken).withColumn("accepted", F.size("codes") == 0)
