@@ -25,8 +25,12 @@ from .vectors import as_lists, matrix
 LEVELS = (4, 8, 16)
 #: Anchors of a group and rows of a slot, about; a task holds one of each.
 GROUP, SLOT = 2_000, 50_000
+#: Rows of a slot at least, where there are tasks for more slots: each slot hands on its own best rows.
+LEAST_SLOT = 5_000
 #: Rows of a slot that are bounded at a time.
 CHUNK = 2_000
+#: Pairs that are refined and scored at a time.
+PAIRS = 1 << 16
 NO_SCORE = np.iinfo(np.int64).min
 SUMMARY = "summary"
 
@@ -58,6 +62,12 @@ def passing(a: Side, b: Side, rows: slice, allowed: np.ndarray, least: np.ndarra
     slack = 1 + 1e-9 * (np.abs(mean) + spread)  # above what doubles lose
     i, j = np.nonzero(allowed & (mean + spread + slack >= least[:, None]) & (mean - spread - slack <= most[:, None]))
     j = j + rows.start
+    found = [_refined(a, b, i[p : p + PAIRS], j[p : p + PAIRS], least, most) for p in range(0, len(i), PAIRS)]
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (i, j, np.zeros(0, np.int64))
+
+
+def _refined(a: Side, b: Side, i: np.ndarray, j: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What is left of some pairs after the finer segments, with exact scores."""
     for level in range(1, len(a.means)):
         mean = np.einsum("ij,ij->i", a.means[level][i], b.means[level][j])
         spread = np.einsum("ij,ij->i", a.deviations[level][i], b.deviations[level][j])
@@ -191,7 +201,8 @@ def mined(
     kept = written(_with_summaries(numbered, dims), "vectors")
     n, chosen = kept.agg(F.count("*"), F.count_if("is_anchor")).first()
     groups = max(1, math.ceil(chosen / group))
-    slots = max(math.ceil(n / slot), math.ceil(int(spark.conf.get("spark.sql.shuffle.partitions")) / groups))
+    tasks = math.ceil(int(spark.conf.get("spark.sql.shuffle.partitions")) / groups)
+    slots = max(1, math.ceil(n / slot), min(tasks, math.ceil(n / LEAST_SLOT)))
     slotted = kept.withColumn("slot", F.pmod(F.col("row") + F.shiftright("row", 33), F.lit(slots)).cast("int")).drop("is_anchor")
     asked = kept.where("is_anchor").drop("is_anchor").withColumn("grp", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int"))
     pairs = "row long, score long, other_id long, other_row long"
