@@ -32,7 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier document has; a document may be left empty."""
+    """Documents without the runs of sentences that an earlier document has; a document may be left empty."""
     return deduplicated(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
