@@ -59,11 +59,14 @@ def units(docs: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, unit, start, end, words, kept_doc_id): every unit that repeats an earlier one, and where the earliest is."""
     found = units(docs)
+    # most units stand alone: only digests that occur twice go on, with places and ranks
+    twice = written(found.groupBy("digest").count().where("count > 1").select("digest"), "repeated-digests")
+    several = written(found.join(twice, "digest"), "repeated-units")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "unit")
-    first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
+    first = several.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
     # a table, so that both sides of the join are shuffled on their own and a unit that very many documents share can be split
-    first = written(first.select("digest", "first"), "repeated-units")
-    again = found.join(first, "digest").where(rank != F.col("first"))
+    first = written(first.select("digest", "first"), "first-units")
+    again = several.join(first, "digest").where(rank != F.col("first"))
     return again.select("doc_id", "text_hash", "unit", "start", "end", "words", F.col("first.doc_id").alias("kept_doc_id"))
 
 
