@@ -47,7 +47,7 @@ def units(docs: DataFrame) -> DataFrame:
             for doc_id, text_hash, text in zip(batch["doc_id"], batch["text_hash"], batch["text"]):
                 own = None if pd.isna(doc_id) else int(doc_id)
                 rows += [(own, text_hash, *unit) for unit in units_of(text)]
-                if len(rows) > 50_000:
+                if len(rows) > 10_000:
                     yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
                     rows = []
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
