@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from scriptorium.bindings import bound
 from scriptorium.streaming.assessment import assess_stream
 
@@ -35,3 +37,11 @@ def test_a_repeated_batch_gives_the_same_rows(spark, tmp_path):
         commit.unlink()
     run()
     assert rows(spark, out) == after
+
+
+@pytest.mark.parametrize("name", ["str01_str03_review_stream", "str02_correction_stream", "str05_overtaken_proposals"])
+def test_a_stream_reads_a_table_of_several_files(spark, tmp_path, name):
+    for table in ("conversations", "events"):
+        spark.read.parquet(f"{SMALLEST}/{table}.parquet").repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    found = queries()[name](spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, queries()[name](spark, SMALLEST).collect()))
