@@ -183,6 +183,12 @@ def repair_raw_newlines(col: Column) -> Column:
     return out
 
 
+def escape_newlines_in_strings(col: Column) -> Column:
+    """Escape raw newlines of a JSON text inside its strings alone, whatever stands beside them."""
+    parts = F.regexp_extract_all(col, F.lit(r'(?s)"(?:[^"\\]++|\\.)*+"?|[^"]++'), F.lit(0))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.startswith('"'), F.replace(p, F.lit("\n"), F.lit("\\n"))).otherwise(p)), "")
+
+
 def lower_trim(col: Column) -> Column:
     return F.lower(strip(col))
 

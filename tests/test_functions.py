@@ -1,9 +1,11 @@
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.functions import alignment, hashing, text, values
+from scriptorium.plans import ingestion
 
 T = F.col("t")
 
@@ -114,3 +116,11 @@ def test_one_decimal_is_the_nearest_tenth_of_the_binary_value(spark):
     assert [r["r"] for r in rows.collect()] == [round(t / n, 1) for t, n in pairs]
     negative = spark.createDataFrame([(-0.25,), (-0.35,), (-2.0,)], "x double").select(values.round_one(F.col("x")).alias("r"))
     assert [r["r"] for r in negative.collect()] == [round(x, 1) for x in (-0.25, -0.35, -2.0)]
+
+
+@pytest.mark.parametrize("inner", ["a,\nb", "{\nx", "x\n}", "[\n", "\n]", 'say \\"a\\",\nb', "back\\\\\nslash", "\n" * 3000 + ","])
+def test_raw_newlines_in_strings_are_repaired_beside_structural_characters(spark, inner):
+    answer = '{\n"pages":\n[{"page":1,\n"transcription":"' + inner + '"}\n]\n}'
+    calls = spark.createDataFrame([(answer,)], "answer string")
+    found = ingestion.with_parsed(calls).select(F.expr("doc:pages[0].transcription::string").alias("t")).collect()[0]["t"]
+    assert found == json.loads('"' + inner.replace("\n", "\\n") + '"')
