@@ -78,7 +78,8 @@ def report_lines(records: DataFrame, aggregates: DataFrame, errors: DataFrame) -
     """Markdown report: (section, position, line)."""
 
     def shown(column: str):
-        return F.coalesce(F.format_string("%.6f", F.col(column)), F.lit(""))
+        # format_string rounds the shortest decimal text half up; this rounds the binary value, half to even on exact ties
+        return F.coalesce(F.call_function("format_number", F.col(column), F.lit("0.000000")), F.lit(""))
 
     def text_of(column: str):
         return F.coalesce(F.col(column), F.lit(""))

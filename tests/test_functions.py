@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import alignment, hashing, text, values
 from scriptorium.plans import ingestion
+from scriptorium.sinks import writers
 
 T = F.col("t")
 
@@ -124,3 +125,16 @@ def test_raw_newlines_in_strings_are_repaired_beside_structural_characters(spark
     calls = spark.createDataFrame([(answer,)], "answer string")
     found = ingestion.with_parsed(calls).select(F.expr("doc:pages[0].transcription::string").alias("t")).collect()[0]["t"]
     assert found == json.loads('"' + inner.replace("\n", "\\n") + '"')
+
+
+def test_report_values_round_the_binary_value(spark):
+    values_ = [0.8203125, 0.7890625, 0.1234565, 0.0000005, 0.5, 0.0, 12.3456785, 2.0, 1 / 3, 1.0000015, 123456789.1234565]
+    rng = random.Random(5)
+    values_ += [rng.randrange(1, 3000) / rng.randrange(1, 2100) for _ in range(3000)] + [n / 128 for n in range(400)] + [(2 * n + 1) / 2e6 for n in range(500)]
+    records = spark.createDataFrame(
+        [(f"f{i:05d}", "cer", "ok", v, 1, "hsa-strict") for i, v in enumerate(values_)], "fixture_id string, metric string, status string, value double, n int, profile string"
+    )
+    totals = spark.createDataFrame([], "metric string, profile string, method string, n_fixtures long, value double")
+    errors = spark.createDataFrame([], "fixture_id string, stage string, message string")
+    lines = writers.report_lines(records, totals, errors).filter("section = 7").orderBy("position").collect()
+    assert [r["line"].split(" | ")[3] for r in lines] == [f"{v:.6f}" for v in values_]
