@@ -100,6 +100,31 @@ def test_split_sums_to_the_distance():
         assert fidelity + scope == levenshtein(a, b)
 
 
+def test_the_alignment_along_diagonals_is_that_of_the_columns():
+    rng = random.Random(11)
+    for _ in range(3000):
+        letters = "abcde"[: rng.randrange(1, 6)]
+        a, b = ("".join(rng.choice(letters) for _ in range(rng.randrange(1, 14))) for _ in range(2))
+        whole = alignment._operations(a, b)
+        distance = len(whole) - whole.count("=")
+        for most in (distance, distance + 1, distance + 4):
+            assert alignment._traced(a, b, alignment._points(a, b, most)) == whole
+        assert distance == 0 or alignment._points(a, b, distance - 1) is None
+    for _ in range(30):
+        a = "".join(rng.choice("abcdefghij ") for _ in range(2000))
+        b = list(a)
+        for at in rng.sample(range(1900), rng.randrange(60)):
+            b[at : at + rng.randrange(3)] = "x" * rng.randrange(9)
+        assert alignment._aligned(a, "".join(b)) == alignment._operations(a, "".join(b))
+
+
+def test_long_texts_that_differ_little_need_no_columns(monkeypatch):
+    monkeypatch.setattr(alignment, "_operations", None)
+    rng = random.Random(3)
+    text_ = "".join(rng.choice("abcdefghij ") for _ in range(400_000))
+    assert alignment.split_distance(text_, "#" + text_[1:] + "§" * 60, 50) == (1, 60)
+
+
 def test_the_alignment_is_the_same_for_every_block_size():
     rng = random.Random(11)
     for _ in range(1000):
