@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .rows import by_row
+
 # Unicode white space as str.split() sees it: the White_Space property plus the
 # four information separators.
 SPACE = r"[\s\x{1C}-\x{1F}]"
@@ -52,11 +53,21 @@ def collapse_whitespace(col: Column) -> Column:
     return F.btrim(F.regexp_replace(col, rf"{U}{SPACE}+", " "), F.lit(" "))
 
 
-@F.pandas_udf(StringType())
-def nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Unicode NFC, which Spark has no built-in for; Arrow batches."""
-    for batch in batches:
-        yield batch.str.normalize("NFC")
+# A text of these characters alone is in NFC: none has a decomposition, a combining class or joins the one before it.
+NOT_COMPOSED = r"[^\x{0}-\x{2FF}\x{2002}-\x{20CF}\x{4E00}-\x{9FFF}\x{1F000}-\x{1FAFF}]"
+
+
+def _nfc(value: str | None) -> str | None:
+    return None if value is None else unicodedata.normalize("NFC", value)
+
+
+def nfc(col: Column, source: Column | None = None) -> Column:
+    """Unicode NFC, which Spark has no built-in for; only texts that may change go to Python.
+
+    ``source`` may give the text that ``col`` is made from, if that adds none of the characters looked for; it is cheaper to look at.
+    """
+    may_change = (col if source is None else source).rlike(NOT_COMPOSED)
+    return F.coalesce(by_row(_nfc, StringType())(F.when(may_change, col)), col)
 
 
 # Fixed values of the zbz profile: double quotes, single quotes, dashes; the
@@ -74,7 +85,7 @@ def normalise_symmetric(col: Column) -> Column:
 
 def normalise_zbz(col: Column) -> Column:
     """The zbz profile: symmetric normalisation, then NFC."""
-    return nfc(normalise_symmetric(col))
+    return nfc(normalise_symmetric(col), col)
 
 
 def comparison_text(col: Column, keep_line_breaks: bool = True) -> Column:
