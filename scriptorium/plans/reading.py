@@ -5,12 +5,12 @@ from __future__ import annotations
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions import text
+from ..functions.rows import by_row
 from ..functions.text import provenance_value
 from ..operators.ordered import numbered
 
@@ -272,12 +272,7 @@ def _read(markup: str | None, mode: str) -> str | None:
 def comparison_reader(mode: str):
     """Column function: ``itertext``, ``edition`` (editorial notes dropped) or ``comparison``."""
 
-    @F.pandas_udf(StringType())
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(lambda markup: _read(markup, mode)).astype(object)
-
-    return read
+    return by_row(lambda markup: _read(markup, mode), StringType())
 
 
 BLOCKS = ("p", "ab", "head", "item", "note")
