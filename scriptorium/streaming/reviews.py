@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,10 @@ from ..operators.reviews import review_checks
 from ..operators.violations import violation_array
 
 STATE = StructType([StructField("status", StringType()), StructField("instant", TimestampType())])
+#: The page of an event as one text, and its group (no leading underscores, the state operator renames those);
+#: the number of groups is part of a query's checkpoint.
+PAGE, BUCKET, BUCKETS = "page_key", "page_group", 4096
+KNOWN = frozenset(vocab.REVIEW_STATUSES)
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -24,35 +30,51 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def carried_statuses(statuses: list, status: str) -> tuple[list, str]:
+    """The last known status in front of each event, and behind all."""
+    previous = []
+    for value in statuses:
+        previous.append(status)
+        if value in KNOWN:
+            status = value
+    return previous, status
+
+
+def carried_instants(instants: np.ndarray, instant: datetime | None) -> tuple[np.ndarray, datetime | None]:
+    """The last readable time in front of each event, and behind all."""
+    line = np.concatenate([[np.datetime64("NaT") if instant is None else np.datetime64(instant)], instants]).astype(instants.dtype)
+    last = np.maximum.accumulate(np.where(np.isnat(line), 0, np.arange(len(line))))
+    filled = line[last]
+    return filled[:-1], None if np.isnat(filled[-1]) else pd.Timestamp(filled[-1]).to_pydatetime()
+
+
 class ReviewHistory(StatefulProcessor):
     """Adds to each event the status and time it continues from.
 
-    One micro-batch of a page is ordered by its sequence number; admission
+    Pages share a group by their hash, since a group costs a few milliseconds however small it is; the state is that of each
+    page. One micro-batch of a group is ordered by its sequence number; admission
     limits of the source bound its size. Unknown states and unreadable times do
     not advance, exactly as in the batch operator.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("review", STATE)
+        self.state = handle.getMapState("review", StructType([StructField("page", StringType())]), STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable", ignore_index=True)
-        status, instant = self.state.get() if self.state.exists() else (vocab.INITIAL_STATUS, None)
-        known = events["status"].where(events["status"].isin(vocab.REVIEW_STATUSES))
-        statuses = known.ffill()
-        instants = events["instant"].ffill()
-        events["previous_status"] = statuses.shift().fillna(status)
-        events["previous_instant"] = instants.shift()
-        if instant is not None:
-            events["previous_instant"] = events["previous_instant"].fillna(pd.Timestamp(instant))
-        last_status, last_instant = statuses.iloc[-1], instants.iloc[-1]
-        self.state.update(
-            (
-                status if pd.isna(last_status) else last_status,
-                instant if pd.isna(last_instant) else last_instant.to_pydatetime(),
-            )
-        )
-        yield events
+        events = pd.concat(list(rows), ignore_index=True).sort_values([PAGE, "seq"], kind="stable", ignore_index=True)
+        pages, statuses, instants = events[PAGE].to_numpy(), events["status"].tolist(), events["instant"].to_numpy()
+        starts = [0, *(np.flatnonzero(pages[1:] != pages[:-1]) + 1), len(pages)]
+        previous, before = [], []
+        for start, end in zip(starts, starts[1:]):
+            page = (pages[start],)
+            status, instant = self.state.getValue(page) or (vocab.INITIAL_STATUS, None)
+            carried, status = carried_statuses(statuses[start:end], status)
+            times, instant = carried_instants(instants[start:end], instant)
+            self.state.updateValue(page, (status, instant))
+            previous += carried
+            before.append(times)
+        events["previous_status"], events["previous_instant"] = previous, np.concatenate(before)
+        yield events.drop(columns=[BUCKET, PAGE])
 
     def close(self) -> None:
         pass
@@ -65,9 +87,9 @@ def with_history(events: DataFrame) -> DataFrame:
     schema = StructType(
         [*timed.schema.fields, StructField("previous_status", StringType()), StructField("previous_instant", TimestampType())]
     )
-    return timed.groupBy("object_id", "page").transformWithStateInPandas(
-        ReviewHistory(), schema, outputMode="Append", timeMode="None"
-    )
+    page = F.to_json(F.struct("object_id", "page"))
+    placed = timed.withColumns({PAGE: page, BUCKET: F.pmod(F.xxhash64(page), F.lit(BUCKETS)).cast("int")})
+    return placed.groupBy(BUCKET).transformWithStateInPandas(ReviewHistory(), schema, outputMode="Append", timeMode="None")
 
 
 def judge_events(events: DataFrame) -> DataFrame:

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from scriptorium.bindings import bound
+from scriptorium.functions import values
+from scriptorium.operators.reviews import with_history as ordered_history
+from scriptorium.queries.streams import run_to_end
+from scriptorium.streaming import reviews
 from scriptorium.streaming.assessment import assess_stream
 
 SMALLEST = "/root/testdata/sf0.001"
@@ -45,3 +49,15 @@ def test_a_stream_reads_a_table_of_several_files(spark, tmp_path, name):
         spark.read.parquet(f"{SMALLEST}/{table}.parquet").repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
     found = queries()[name](spark, str(tmp_path))
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, queries()[name](spark, SMALLEST).collect()))
+
+
+def test_pages_of_one_group_keep_their_own_state_over_micro_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(reviews, "BUCKETS", 3)
+    events = bound(spark, SMALLEST, "review_v").filter("seq < 390")
+    for first in (0, 130, 260):
+        events.filter(f"seq >= {first} AND seq < {first + 130}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    columns = ["object_id", "page", "seq", "previous_status", "previous_instant"]
+    found = run_to_end(reviews.with_history(stream).select(*columns)).collect()
+    table = ordered_history(events.withColumn("instant", values.aware_timestamp(F.col("event_time")))).select(*columns).collect()
+    assert len(found) == 390 and sorted(map(str, found)) == sorted(map(str, table))
