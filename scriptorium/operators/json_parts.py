@@ -92,7 +92,8 @@ def located(chunks: DataFrame) -> DataFrame:
         _change(_structure(chunk, F.lit(False))).alias("outer"), _change(_structure(chunk, F.lit(True))).alias("inner"),
         until_end(chunk).alias("end"), F.when(chunk.contains('"pages"'), chunk).alias("text"),
     )
-    rows = with_prior(rows, KEYS, ["n"], Prior("before", "sum", F.col("quotes")))
+    # the split by ranges reads its rows twice, so what is counted in the texts is kept first
+    rows = with_prior(checkpointed(rows), KEYS, ["n"], Prior("before", "sum", F.col("quotes")))
     inside = F.col("before") % 2 == 1
     closes = (F.col("ends") & ((F.col("before") + F.col("quotes")) % 2 == 0)).cast("int")
     rows = rows.withColumns({"inside": inside, "closes": closes})
@@ -133,7 +134,7 @@ def parse(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     pages. Elements of the list that are no objects count as pages; lists among them may hold no lists. A document without its pages, and a
     single page, must fit a VARIANT. Empty texts are not readable; an empty table gives empty results.
     """
-    rows = checkpointed(located(chunks))
+    rows = checkpointed(located(checkpointed(chunks)))  # the chunks are read twice: to count and to cut
     piece = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", c))), lambda x: x[c]), "")
     used = rows.groupBy("object_id").agg(
         F.max_by("after", "n").alias("depth"), F.min("after").alias("lowest"), (F.max("strings") % 2).alias("open_string"), F.max("region").alias("region")
