@@ -156,14 +156,24 @@ def summaries(fragments: DataFrame, fan: int = FAN) -> DataFrame:
     rows = checkpointed(fragment_summaries(rows.withColumn("first", F.col("n") == 1)).select("object_id", "n", "summary"))
     most = rows.agg(F.max("n")).first()[0] or 1
     for _ in range(max(1, math.ceil(math.log(most, fan) - 1e-9))):
-        group = F.floor((F.col("n") - 1) / fan) + 1
-        members = F.array_sort(F.collect_list(F.struct("n", "summary")))
-        rows = rows.groupBy("object_id", group.alias("n")).agg(members.alias("members"))
-        joined = F.aggregate("members", _nothing(False), lambda whole, m: merged(whole, m["summary"]))
-        rows = rows.select("object_id", "n", joined.alias("summary"))
+        rows = checkpointed(_merged_neighbours(rows, fan))
     return rows.drop("n")
 
 
+def _merged_neighbours(rows: DataFrame, fan: int) -> DataFrame:
+    """(object_id, n, summary) with ``fan`` neighbours in one summary.
+
+    Summaries are few bytes and much work, so the number of tasks is given and not left to AQE, which joins small partitions into
+    one. Callers checkpoint the result; otherwise each condition on a summary would merge again.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = rows.withColumn("group", F.floor((F.col("n") - 1) / fan) + 1).repartition(parts, "object_id", "group")
+    members = F.array_sort(F.collect_list(F.struct("n", "summary")))
+    grouped = grouped.groupBy("object_id", F.col("group").alias("n")).agg(members.alias("members"))
+    first, rest = F.element_at("members", 1)["summary"], F.slice("members", F.lit(2), F.size("members"))
+    return grouped.select("object_id", "n", F.aggregate(rest, first, lambda whole, m: merged(whole, m["summary"])).alias("summary"))
+
+
 def as_fragments(documents: DataFrame) -> DataFrame:
     """Documents (object_id, markup) as fragments, one each."""
     return documents.select("object_id", F.lit(0).alias("section"), F.lit(0).cast("bigint").alias("ordinal"), F.col("markup").alias("fragment"))

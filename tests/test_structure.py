@@ -113,3 +113,13 @@ def test_an_object_of_many_fragments(spark):
     ends = spark.createDataFrame(frame, pages.schema)
     assert [r["status"] for r in structure.conformance(pages.union(ends), fan=8).collect()] == ["valid"]
     assert [r["well_formed"] for r in structure.well_formed(pages.union(ends.limit(1)), fan=8).collect()] == [False]
+
+
+def test_summaries_are_merged_once_and_in_many_tasks(spark):
+    """Summaries are few bytes, which AQE would join into one task, and a condition on the result must not merge them again."""
+    frame = spark.range(500).selectExpr("concat('o', id % 250) AS object_id", "1 AS section", "id AS ordinal", "if(id < 250, '<TEI>', '</TEI>') AS fragment")
+    merged = structure.summaries(frame)
+    assert merged.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert merged.count() == 250 and structure.with_well_formed(merged).filter("well_formed").count() == 250
+    valid = structure.conformance(frame).filter("status IN ('valid', 'invalid')")
+    assert "aggregate(" not in valid._jdf.queryExecution().optimizedPlan().toString()
