@@ -36,3 +36,18 @@ def by_row(function: Callable, kind: DataType):
             yield in_pieces(function, (batch,) if isinstance(batch, pa.Array) else batch, arrow)
 
     return run
+
+
+def by_rows(function: Callable, kind: DataType, rows: int = PIECE):
+    """Column function that applies ``function`` to lists of the values of a few rows; it returns a list of their answers, structs as tuples."""
+    arrow = to_arrow_type(kind)
+
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            columns = (batch,) if isinstance(batch, pa.Array) else batch
+            starts = range(0, len(columns[0]), rows)
+            done = [pa.array(function(*(c.slice(start, rows).to_pylist() for c in columns)), arrow) for start in starts]
+            yield pa.concat_arrays(done) if done else pa.array([], arrow)
+
+    return run

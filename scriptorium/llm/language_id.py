@@ -11,10 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions.rows import by_rows
 from .common import id_remainder, passage, pieces, sampled_by_hash
 
 UNDETERMINED = "und"
@@ -26,6 +27,7 @@ TRAIN_PER_LANGUAGE = 1500
 EPOCHS, BATCH, RATE = 14, 64, 0.02
 #: Windows whose answers are in memory together.
 TOGETHER = 256
+FOUND = StructType().add("lang_pred", "string").add("score", "double")
 
 
 @dataclass
@@ -185,14 +187,14 @@ def language(text: Column | str, net: Network | None) -> Column:
     """
     text = F.col(text) if isinstance(text, str) else text
 
-    def run(texts: pd.Series, letters: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame({"lang_pred": UNDETERMINED, "score": np.zeros(len(texts))})
-        use = letters.fillna(False).astype(bool).to_numpy()
-        if net is not None and use.any():
-            out.loc[use, "lang_pred"], out.loc[use, "score"] = predict(net, texts[use].tolist())
+    def run(texts: list, letters: list) -> list[tuple[str, float]]:
+        out = [(UNDETERMINED, 0.0)] * len(texts)
+        use = [i for i, has in enumerate(letters) if has] if net is not None else []
+        for i, *found in zip(use, *predict(net, [texts[i] for i in use])) if use else ():
+            out[i] = tuple(found)
         return out
 
-    return F.pandas_udf(run, "lang_pred string, score double")(text, text.rlike(r"\p{L}"))
+    return by_rows(run, FOUND)(text, text.rlike(r"\p{L}"))
 
 
 def identify(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, folds: int = 5) -> DataFrame:

@@ -11,21 +11,28 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions.rows import by_rows
 from .common import pieces as text_pieces
 
 MARK = "▁"
 NONE = np.iinfo(np.int32).max
-#: Words kept between batches in a worker, and the longest word kept; a larger store is emptied.
+#: Words kept between batches in a worker, and the longest word kept; a larger store is emptied. Words that come once are not kept.
 KEPT_WORDS, KEPT_CHARS = 400_000, 48
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 UNKNOWN_TEXT = " ⁇ "
+#: Rows of an Arrow batch that are encoded together.
+ROWS = 512
+DIGESTS = StructType().add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
 
 
 @dataclass
@@ -101,6 +108,7 @@ class Codec:
         self.shown = [k != v.CONTROL for k in v.kinds]
         texts = {v.NORMAL: lambda p: p.replace(MARK, " ").encode(), v.CONTROL: lambda p: b"", v.UNKNOWN: lambda p: UNKNOWN_TEXT.encode()}
         self.surface = [bytes([int(p[3:5], 16)]) if k == v.BYTE else texts[k](p) for p, k in zip(v.pieces, v.kinds)]
+        self.decimal = [str(i).encode() for i in range(len(v.pieces))]
         self.block = self._mark_block()
 
     def _mark_block(self) -> int:
@@ -216,12 +224,12 @@ class Codec:
             split = [self._words(t) for t in texts[start:end]]
             if len(self.kept) > KEPT_WORDS:
                 self.kept.clear()
-            new = list(set().union(*split).difference(self.kept))
+            times = Counter(chain.from_iterable(split))
+            new = list(times.keys() - self.kept.keys())
             own = dict(zip(new, self._merge(new)))
-            self.kept.update((w, b) for w, b in own.items() if len(w) <= KEPT_CHARS)
-            kept, own = self.kept.__getitem__, {w: b for w, b in own.items() if len(w) > KEPT_CHARS}
-            look = kept if not own else (lambda w: own[w] if w in own else kept(w))
-            out += [np.frombuffer(b"".join(map(look, words)), "<i4") for words in split]
+            self.kept.update((w, b) for w, b in own.items() if times[w] > 1 and len(w) <= KEPT_CHARS)
+            own.update((w, self.kept[w]) for w in times if w not in own)
+            out += [np.frombuffer(b"".join(map(own.__getitem__, words)), "<i4") for words in split]
         return out
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
@@ -315,15 +323,14 @@ def round_trip(text: Column | str, shared: Shared) -> Column:
     Null counts as empty: no ids, and the digests of empty texts. Ids are digested as decimal numbers joined by commas.
     """
 
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(texts: list) -> list[tuple[int, str, str]]:
         codec = _codec(shared)
-        decimal = [str(i).encode() for i in range(len(codec.vocabulary.pieces))]
         rows = []
         values = [t or "" for t in texts]
         for start, end in text_pieces(values):
             for ids in codec.encode(values[start:end]):
-                listed = b",".join(map(decimal.__getitem__, ids.tolist()))
+                listed = b",".join(map(codec.decimal.__getitem__, ids.tolist()))
                 rows.append((len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        return rows
 
-    return F.pandas_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string")(text)
+    return by_rows(run, DIGESTS, ROWS)(text)

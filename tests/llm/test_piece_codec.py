@@ -61,3 +61,12 @@ def test_columns(spark, library):
         assert row["ids"] == ids and row["back"] == library.decode(ids) and row["r"]["n_tokens"] == len(ids)
         assert row["r"]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row["r"]["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_words_that_come_once_are_not_kept(codec, library):
+    """What a worker holds after a batch follows the words that come again, not all words."""
+    own = Codec(codec.vocabulary)
+    texts = ["again once1 again", "again once2"]
+    assert [x.tolist() for x in own.encode(texts)] == library.encode(texts)
+    assert set(own.kept) == {"▁again"}
+    assert [x.tolist() for x in own.encode(texts)] == library.encode(texts)

@@ -6,7 +6,7 @@ import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from scriptorium.functions import rows, text
 
@@ -40,3 +40,14 @@ def test_rows_longer_than_a_batch(spark):
     shout = rows.by_row(lambda t: None if t is None else t.upper(), StringType())
     frame = spark.range(0, 30_000, 1, 1).select(F.col("id"), F.when(F.col("id") % 3 != 0, F.concat(F.lit("a"), F.col("id").cast("string"))).alias("t"))
     assert frame.filter(~shout("t").eqNullSafe(F.upper("t"))).count() == 0
+
+
+def test_a_batch_is_handed_on_a_few_rows_at_a_time(spark):
+    """Texts of a batch are not Python strings all at once: the language and the pieces are found for a few rows at a time."""
+    kind = StructType().add("rows", "integer").add("value", "string")
+    seen = rows.by_rows(lambda values, ids: [(len(values), f"{v}-{i}") for v, i in zip(values, ids)], kind, 100)
+    frame = spark.range(1050).repartition(1).selectExpr("id", "if(id = 3, null, id) AS value")
+    found = frame.select("id", seen(F.col("value"), F.col("id")).alias("x")).select("id", "x.*").collect()
+    assert {r["id"]: r["value"] for r in found} == {i: f"{None if i == 3 else i}-{i}" for i in range(1050)}
+    assert max(r["rows"] for r in found) <= 100
+    assert frame.limit(0).select(seen(F.col("value"), F.col("id"))).count() == 0
