@@ -146,6 +146,37 @@ def test_no_documents_and_short_ones(spark, docs):
     assert found(docs([(1, "short"), (1, "short")]), 400) == [(1, 5, 0, [], None, hashlib.sha256(b"short").hexdigest())] * 2
 
 
+def test_a_frequent_hash_is_split_over_tasks(spark, docs, monkeypatch):
+    from scriptorium.llm import repeat_intervals
+
+    rng = random.Random(4)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = prose(60)
+    rows = [(i, prose(30) + passage + prose(150)) for i in range(600)]
+    plans, real = {}, repeat_intervals.written
+
+    def watched(df, name):
+        df.collect()
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(repeat_intervals, "written", watched)
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        compare(rows, found(docs(rows), 50), 50)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plans["met"] and "skew=true" in plans["texts"]
+
+
 def test_query_on_the_whole_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, SMALLEST, "documents").collect()]
     got = QUERIES["op11_interval_tree_repeats"](spark, SMALLEST).collect()
