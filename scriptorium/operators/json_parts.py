@@ -9,11 +9,13 @@ never falls into an escape.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
-from .ordered import Prior, numbered, with_prior
+from ..session import scratch
+from .ordered import SEGMENT, Prior, range_segments, with_prior
 
 STRING = r'"(?:[^"\\]++|\\.)*+"'
 #: The key of the list of pages, as it can only stand outside of strings.
@@ -25,8 +27,10 @@ KEYS = ["object_id"]
 
 def chunks_of_texts(texts: DataFrame) -> DataFrame:
     """(object_id, n, chunk, ends) of texts (object_id, value): chunks in order, and whether a brace ended each."""
-    parts = F.split(F.coalesce("value", F.lit("")), r"\}", -1)
-    rows = texts.select("object_id", F.size(parts).alias("_parts"), F.posexplode(parts).alias("n", "chunk"))
+    # split once a text: an expression beside the rows that it is exploded into is computed for each of them, and the inner form, of no
+    # use as there is a chunk at least, splits for a filter
+    rows = texts.select("object_id", F.split(F.coalesce("value", F.lit("")), r"\}", -1).alias("_chunks"))
+    rows = rows.withColumn("_parts", F.size("_chunks")).select("object_id", "_parts", F.posexplode_outer("_chunks").alias("n", "chunk"))
     return rows.select("object_id", F.col("n").cast("long").alias("n"), "chunk", (F.col("n") < F.col("_parts") - 1).alias("ends"))
 
 
@@ -79,11 +83,10 @@ def _opening(chunk: Column, inside: Column, depth: Column) -> Column:
     return F.get(F.array_compact(found), F.lit(0))
 
 
-def located(chunks: DataFrame) -> DataFrame:
-    """Chunks with ``region`` (0 before, 1 in, 2 behind the pages), ``head`` and ``tail`` (text of the document around them),
-    ``body`` (text of the pages), ``element`` (page objects closed before), ``after`` (depth at the end) and ``strings`` (quotes so far).
+def places_of(chunks: DataFrame, table: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What is open where each chunk begins, and where in it the list of pages opens (``here``, ``open``) and ends (``close``).
 
-    The running sums see a few numbers a chunk; the texts join them at the end.
+    The running sums see a few numbers a chunk, split by ranges once; ``table`` keeps what is needed on the way.
     """
     chunk = F.col("chunk")
     until_end = lambda text: F.when(text.rlike(LIST_END), F.length(F.regexp_extract(text, LIST_END, 1)))
@@ -93,27 +96,36 @@ def located(chunks: DataFrame) -> DataFrame:
         until_end(chunk).alias("end"), F.when(chunk.contains('"pages"'), chunk).alias("text"),
     )
     # the split by ranges reads its rows twice, so what is counted in the texts is kept first
-    rows = with_prior(checkpointed(rows), KEYS, ["n"], Prior("before", "sum", F.col("quotes")))
+    rows = range_segments(table(rows), KEYS, ["n"], table)
+    rows = with_prior(rows, KEYS, ["n"], Prior("before", "sum", F.col("quotes")))
     inside = F.col("before") % 2 == 1
     closes = (F.col("ends") & ((F.col("before") + F.col("quotes")) % 2 == 0)).cast("int")
     rows = rows.withColumns({"inside": inside, "closes": closes})
-    rows = checkpointed(rows.withColumn("delta", F.when(F.col("inside"), F.col("inner")).otherwise(F.col("outer")) - F.col("closes")))
+    rows = table(rows.withColumn("delta", F.when(F.col("inside"), F.col("inner")).otherwise(F.col("outer")) - F.col("closes")))
     rows = with_prior(rows, KEYS, ["n"], Prior("depth", "sum", F.col("delta")))
-    rows = checkpointed(rows.withColumn("open", F.when(F.col("text").isNotNull(), _opening(F.col("text"), F.col("inside"), F.col("depth")))))
+    rows = table(rows.withColumn("open", F.when(F.col("text").isNotNull(), _opening(F.col("text"), F.col("inside"), F.col("depth")))))
     rows = with_prior(rows, KEYS, ["n"], Prior("opened", "sum", F.col("open").isNotNull().cast("int")))
     rows = rows.withColumn("here", F.col("open").isNotNull() & (F.col("opened") == 0))
     # from the first opening on the list may end in chunks that stand between pages
     between = (F.col("opened") > 0) & (F.col("depth") == 2) & ~F.col("inside")
     close = F.when(F.col("here"), until_end(F.substr("text", F.col("open") + 1))).when(between, F.col("end"))
-    rows = checkpointed(rows.withColumn("close", close).drop("text"))
+    rows = table(rows.withColumn("close", close).drop("text"))
     in_list = ((F.col("opened") > 0) | F.col("here")) & (F.col("closes") == 1) & (F.col("depth") + F.col("delta") == 2)
     rows = with_prior(
         rows, KEYS, ["n"], Prior("closed", "sum", F.col("close").isNotNull().cast("int")), Prior("element", "sum", in_list.cast("int"))
     )
     rows = rows.withColumn("region", F.when((F.col("opened") == 0) & ~F.col("here"), 0).when(F.col("closed") > 0, 2).otherwise(1))
-    found = rows.select(
+    return rows.select(
         *KEYS, "n", "region", "element", "here", "open", "close", (F.col("depth") + F.col("delta")).alias("after"), (F.col("before") + F.col("quotes")).alias("strings")
-    ).join(chunks, [*KEYS, "n"])
+    )
+
+
+def located(chunks: DataFrame, places: DataFrame) -> DataFrame:
+    """Chunks with ``region`` (0 before, 1 in, 2 behind the pages), ``head`` and ``tail`` (text of the document around them),
+    ``body`` (text of the pages), ``element`` (page objects closed before), ``after`` (depth at the end) and ``strings`` (quotes so far).
+    """
+    # there are far more places than their compressed size lets Spark expect, so they are not broadcast
+    found, chunk = places.hint("merge").join(chunks, [*KEYS, "n"]), F.col("chunk")
     brace = F.when(F.col("ends"), "}").otherwise("")
     listed = F.when(F.col("here"), F.substr("chunk", F.col("open") + 1)).otherwise(chunk)
     shut = F.col("close").isNotNull()
@@ -126,15 +138,29 @@ def located(chunks: DataFrame) -> DataFrame:
     )
 
 
-def parse(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse(chunks: DataFrame, details: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, pages) of chunks (object_id, n, chunk, ends).
 
     documents: object_id, doc (VARIANT of the document with an empty list of pages), readable, n_pages (null without a list of pages).
     pages: object_id, position from 0, raw (VARIANT). A document that is no JSON object, or whose pages are not all JSON, is not readable and has no
     pages. Elements of the list that are no objects count as pages; lists among them may hold no lists. A document without its pages, and a
     single page, must fit a VARIANT. Empty texts are not readable; an empty table gives empty results.
+
+    ``details`` makes further columns of the pages out of the documents: (object_id, position, columns), one row for a page at most.
     """
-    rows = checkpointed(located(checkpointed(chunks)))  # the chunks are read twice: to count and to cut
+    with scratch(chunks.sparkSession) as table:
+        with scratch(chunks.sparkSession) as once:
+            chunks = once(chunks)  # read twice: to count and to cut
+            with scratch(chunks.sparkSession) as before:
+                places = once(places_of(chunks, before))
+            rows = table(located(chunks, places))
+        return _parsed(rows, table, details)
+
+
+def _parsed(
+    rows: DataFrame, table: Callable[..., DataFrame], details: Callable[[DataFrame], DataFrame] | None
+) -> tuple[DataFrame, DataFrame]:
+    """(documents, pages) of located chunks."""
     piece = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", c))), lambda x: x[c]), "")
     used = rows.groupBy("object_id").agg(
         F.max_by("after", "n").alias("depth"), F.min("after").alias("lowest"), (F.max("strings") % 2).alias("open_string"), F.max("region").alias("region")
@@ -148,13 +174,13 @@ def parse(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     inner = inner.when((F.col("element") == 0) & ~comma, F.col("text"))
     blank = F.col("text").rlike(r"^[ \t\r\n]*$")
     items = F.try_parse_json(F.concat(F.lit("["), inner, F.lit("]"))).try_cast("array<variant>")
-    groups = checkpointed(groups.filter(~blank).select("object_id", "element", items.alias("items")))
-    bad = groups.filter("items IS NULL OR size(items) = 0").select("object_id").distinct().withColumn("broken", F.lit(True))
-    exploded = groups.select("object_id", "element", F.posexplode("items").alias("at", "raw"))
-    counts = exploded.groupBy("object_id").agg(F.count(F.lit(1)).alias("elements"))
+    groups = groups.filter(~blank).select("object_id", "element", items.alias("items"))
+    groups = table(groups.withColumn("size", F.when(F.col("items").isNotNull(), F.size("items")).otherwise(0)), keep=True)
+    bad = groups.filter("size = 0").select("object_id").distinct().withColumn("broken", F.lit(True))
+    counts = groups.groupBy("object_id").agg(F.sum("size").alias("elements"))
     doc = F.try_parse_json("value")
     sound = (F.col("depth") == 0) & (F.col("lowest") >= 0) & (F.col("open_string") == 0)
-    documents = checkpointed(
+    documents = (
         used.join(frame, "object_id", "left").join(bad, "object_id", "left").join(counts, "object_id", "left")
         .withColumn("doc", doc)
         .select(
@@ -163,6 +189,16 @@ def parse(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.when(F.col("region") > 0, F.coalesce("elements", F.lit(0))).cast("int").alias("n_pages"),
         )
     )
+    documents = table(documents, keep=True)
     readable = documents.filter("readable").select("object_id")
-    ordered = numbered(exploded.join(readable, "object_id", "left_semi"), KEYS, ["element", "at"], "position")
-    return documents, ordered.select("object_id", (F.col("position") - 1).cast("int").alias("position"), "raw")
+    # the places of pages alone are put in order and get their details, so the pages are shuffled once
+    sizes = groups.filter("size > 0").select("object_id", "element", "size").join(readable.hint("merge"), "object_id", "left_semi")
+    places = with_prior(range_segments(table(sizes), KEYS, ["element"], table), KEYS, ["element"], Prior("start", "sum", F.col("size")))
+    places = places.select("object_id", "element", "start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("at"))
+    places = places.select("object_id", "element", "at", (F.col("start") + F.col("at")).cast("int").alias("position"))
+    if details is not None:
+        places = places.join(details(documents).hint("merge"), ["object_id", "position"], "left")
+    places = table(places, keep=True)
+    pages = groups.select("object_id", "element", F.posexplode("items").alias("at", "raw"))
+    pages = pages.join(places.hint("merge"), ["object_id", "element", "at"])
+    return documents, pages.select("object_id", "position", "raw", *places.columns[4:])

@@ -9,6 +9,7 @@ row per segment.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,8 +34,8 @@ class Prior:
     value: Column | None = None
 
 
-def range_segments(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Split by ranges of (keys, order) and fix the split in the checkpoint folder.
+def range_segments(df: DataFrame, keys: list[str], order: list[str], keep: Callable[[DataFrame], DataFrame] = checkpointed) -> DataFrame:
+    """Split by ranges of (keys, order) and fix the split in the checkpoint folder, with ``keep``.
 
     The order columns must make rows unique within a key; then every key, also
     one with duplicates of its other columns, can be cut anywhere. The
@@ -43,7 +44,7 @@ def range_segments(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     split = df.repartitionByRange(parts, *keys, *order)
-    return checkpointed(split.withColumn(SEGMENT, F.spark_partition_id()))
+    return keep(split.withColumn(SEGMENT, F.spark_partition_id()))
 
 
 def with_prior(df: DataFrame, keys: list[str], order: list[str], *priors: Prior) -> DataFrame:

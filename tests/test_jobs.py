@@ -1,12 +1,15 @@
 """Jobs on files and small fixtures: sources, markup, evaluation, sinks, streams."""
 
 import json
+import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.operators import contract, json_parts
 from scriptorium.plans import audit, catalog, evaluation, markup, reading, review, structure
+from scriptorium.session import checkpoint_dir, checkpointed, scratch
 from scriptorium.sinks import writers
 from scriptorium.sources import files, manifests, transcriptions
 
@@ -246,6 +249,45 @@ def test_chunks_against_a_parser(spark):
         assert raw.get(name, []) == (listed or []), text
 
 
+def test_a_text_is_split_once(spark):
+    chunks = json_parts.chunks_of_texts(spark.createDataFrame([("a", "x}y}z"), ("b", "}"), ("c", None)], "object_id string, value string"))
+    assert chunks._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    expected = [("a", 0, "x", True), ("a", 1, "y", True), ("a", 2, "z", False), ("b", 0, "", True), ("b", 1, "", False), ("c", 0, "", False)]
+    assert rows_of(chunks, "object_id", "n", "chunk", "ends") == expected
+
+
+def bytes_of(folder):
+    return sum(p.stat().st_size for p in Path(str(folder).removeprefix("file:")).rglob("*") if p.is_file())
+
+
+def test_documents_in_chunks_leave_less_than_their_texts(spark):
+    rng = random.Random(9)
+    letters = "".join(rng.choice("abcdefghijklmnop ") for _ in range(100_000))
+
+    def pages():
+        return [{"page": i + 1, "transcription": letters[start : start + 10_000]} for i, start in enumerate(rng.sample(range(90_000), 10))]
+
+    texts = [(f"o{i}", json.dumps({"object_id": f"o{i}", "pages": pages()})) for i in range(60)]
+    files = checkpointed(spark.createDataFrame(texts, "object_id string, value string"))
+    before = bytes_of(checkpoint_dir(spark))
+    _, found = contract.parsed(files, large=0)
+    assert found.count() == 600
+    assert bytes_of(checkpoint_dir(spark)) - before < sum(len(value) for _, value in texts)
+
+
+def test_scratch_tables_go_with_their_shuffles(spark):
+    rows = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.collect_list("id").alias("l"))
+    before = bytes_of(checkpoint_dir(spark))
+    with scratch(spark) as table:
+        first = table(rows)
+        kept = table(first.select("k", F.size("l").alias("size")), keep=True)
+        assert first.count() == 10
+        written = bytes_of(checkpoint_dir(spark)) - before
+    assert rows_of(kept, "k", "size") == [(k, 100) for k in range(10)]
+    assert 0 < bytes_of(checkpoint_dir(spark)) - before < written
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_files_are_read_in_ranges(spark, tmp_path):
     """Files far above the size of a read range, with pages that lie across its edges; one is cut off."""
     values = {f"v{i}": {"object_id": f"v{i}", "pages": [{"page": n + 1, "transcription": f"}}{i} {n} " * (n % 40)} for n in range(300)]} for i in range(3)}
